@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import neardup
+from siftline.llm import neardup, overlap
+from siftline.llm.cells import CellIndex
 from siftline.session import materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +18,23 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.group_pairs(materialise(neardup.near_duplicate_groups(c, "row_id", neardup.joined_text("title", "description")), "groups"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = CellIndex(spark)
+    vectors = materialise(index.vectors(table(spark, sf_dir, "candidates")), "vectors")
+    index.append(vectors)
+    return index.probe(vectors)
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.overlap_pairs(table(spark, sf_dir, "labels"))
+
+
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.overlap_report(table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
-    return {"p3_found": p3_found}
+    return {f.__name__: f for f in (p3_found, p4_found, p7_found, p7_report)}
 
 
 def oracle_sql() -> dict[str, str]:
