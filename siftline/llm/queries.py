@@ -5,14 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siftline.llm import neardup, overlap
+from siftline.llm import caps, cutoffs, neardup, overlap, splits
 from siftline.llm.cells import CellIndex
 from siftline.session import materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.capped_channels(table(spark, sf_dir, "candidates"), table(spark, sf_dir, "scored"), 25).log().select("row_id")
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "candidates")
     return neardup.group_pairs(materialise(neardup.near_duplicate_groups(c, "row_id", neardup.joined_text("title", "description")), "groups"))
@@ -25,6 +30,27 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.probe(vectors)
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.violations(materialise(splits.related_sets(table(spark, sf_dir, "labels")), "sets"))
+
+
+def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per new split and source after an 80/10/10 assignment."""
+    sets = materialise(splits.related_sets(table(spark, sf_dir, "labels")), "sets")
+    new = splits.assign(sets, {"train": 0.8, "calibration": 0.1, "holdout": 0.1})
+    return new.groupBy("new_split", "source").agg(F.count("*").alias("n"), F.count(F.when(F.col("new_split") != F.coalesce("old_split", F.lit("")), 1)).alias("moved"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = cutoffs.scored_sources(table(spark, sf_dir, "labels"), table(spark, sf_dir, "scored"))
+    return cutoffs.cutoffs(values, table(spark, sf_dir, "keep_targets"))[1].select("source", F.col("video").alias("video_id"))
+
+
+def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = cutoffs.scored_sources(table(spark, sf_dir, "labels"), table(spark, sf_dir, "scored"))
+    return cutoffs.cutoffs(values, table(spark, sf_dir, "keep_targets"))[0]
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.overlap_pairs(table(spark, sf_dir, "labels"))
 
@@ -34,7 +60,7 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p3_found, p4_found, p7_found, p7_report)}
+    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p5_shares, p6_found, p6_report, p7_found, p7_report)}
 
 
 def oracle_sql() -> dict[str, str]:
