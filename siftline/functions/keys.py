@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# White space as Unicode has it; the usual \s of the regex engine is ASCII only.
-SPACE = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+# White space as Unicode has it; trim() alone knows the blank only.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
 def _col(c: Column | str) -> Column:
@@ -15,7 +15,7 @@ def _col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Without surrounding white space (any Unicode blank)."""
-    return F.regexp_replace(_col(c), f"^{SPACE}+|{SPACE}+$", "")
+    return F.trim(_col(c), F.lit(BLANKS))
 
 
 def present(c: Column | str) -> Column:
@@ -33,5 +33,5 @@ def bare_video_id(c: Column | str) -> Column:
 def name_key(c: Column | str) -> Column:
     """Equal for the same name: no address, no leading @, no white space, no case; null where missing."""
     t = F.regexp_replace(strip(present(c)), r"^(?:.*/(?=@)|[A-Za-z][A-Za-z0-9+.-]*://[^/]*/?)", "")
-    t = F.regexp_replace(F.regexp_replace(t, SPACE, ""), r"^@+", "")
+    t = F.ltrim(F.translate(t, BLANKS, ""), F.lit("@"))
     return F.nullif(F.lower(t), F.lit(""))
