@@ -10,7 +10,7 @@ fails half-way leaves the previous version as it was.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftline.functions.keys import bare_video_id, name_key
@@ -19,7 +19,11 @@ from siftline.session import work_path
 
 STATE = "contributor string, row_id bigint, score double"
 LOG = STATE + ", batch int, reason string"
-BEST = (F.desc_nulls_last("score"), F.asc("row_id"))
+
+
+def best() -> list[Column]:
+    """Best first: highest score, none last, then the smaller row_id."""
+    return [F.desc_nulls_last("score"), F.asc("row_id")]
 
 
 def cap_for_share(total_rows: int, share: float) -> int:
@@ -71,10 +75,10 @@ class CapState:
         below = F.col("reason") == "below cutoff"
         salt = F.when(below, F.lit(-1)).otherwise(F.pmod(F.xxhash64("row_id"), F.lit(self.salts)).cast("int"))
         # Rows below the cutoff are neither ranked nor merged; they get rank 0 and go to the log.
-        part = Window.partitionBy("contributor", "salt").orderBy(*BEST)
+        part = Window.partitionBy("contributor", "salt").orderBy(*best())
         first = new.where(~below).withColumn("salt", salt).withColumn("n", F.row_number().over(part)).drop("salt")
         merged = first.where(F.col("n") <= self.cap).select("contributor", "row_id", "score").union(keep)
-        final = merged.withColumn("n", F.row_number().over(Window.partitionBy("contributor").orderBy(*BEST)))
+        final = merged.withColumn("n", F.row_number().over(Window.partitionBy("contributor").orderBy(*best())))
         out = final.union(first.where(F.col("n") > self.cap).select("contributor", "row_id", "score", "n")).select("contributor", "row_id", "score", F.when(F.col("n") <= self.cap, F.lit("kept")).otherwise("displaced").alias("reason"))
         out = out.union(new.where(below))
         whole = f"{self.path}/step/{step}"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siftline.llm import caps, cutoffs, neardup, overlap, splits
 from siftline.llm.cells import CellIndex
+from siftline.llm.oracle import SQL
 from siftline.session import materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,4 +65,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
