@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import caps, cutoffs, neardup, overlap, splits
+from siftline.llm import caps, cutoffs, neardup, overlap, sentences, splits
 from siftline.llm.cells import CellIndex
 from siftline.llm.oracle import SQL
 from siftline.session import materialise, table
@@ -60,8 +60,12 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.overlap_report(table(spark, sf_dir, "labels"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.sentence_units(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p5_shares, p6_found, p6_report, p7_found, p7_report)}
+    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p5_shares, p6_found, p6_report, p7_found, p7_report, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
