@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import caps, cutoffs, neardup, overlap, sentences, splits
+from siftline.llm import caps, cutoffs, leaks, neardup, overlap, sentences, splits
 from siftline.llm.cells import CellIndex
 from siftline.llm.oracle import SQL
 from siftline.session import materialise, table
@@ -60,12 +60,23 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.overlap_report(table(spark, sf_dir, "labels"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per suite: test items, items leaked, and documents that leak."""
+    items = table(spark, sf_dir, "eval_items").select("item_id", "suite")
+    found = p8_found(spark, sf_dir)
+    return items.join(found, "item_id", "left").groupBy("suite").agg(F.countDistinct("item_id").alias("items"), F.countDistinct(F.when(F.col("doc_id").isNotNull(), F.col("item_id"))).alias("leaked_items"), F.countDistinct("doc_id").alias("documents"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentence_units(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p5_shares, p6_found, p6_report, p7_found, p7_report, p10_found)}
+    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p5_shares, p6_found, p6_report, p7_found, p7_report, p8_found, p8_report, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
