@@ -33,7 +33,7 @@ VECTOR = "row_id bigint, batch_no int, video string, set_key bigint, numbers big
 
 
 def _unit_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
+    for b in units.slices(batches, "title"):
         h, _ = units.unit_sets(b["title"].tolist())
         yield pd.DataFrame({"unit": h.view(np.int32)})
 
@@ -59,7 +59,7 @@ def rare_first(h: np.ndarray, offsets: np.ndarray, axes: np.ndarray) -> np.ndarr
 
 def _vectors(axes: np.ndarray):
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in units.slices(batches, "title"):
             texts = b["title"].tolist()
             h, offsets = units.unit_sets(texts)
             v = rare_first(h, offsets, axes).view(np.int32)

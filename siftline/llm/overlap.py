@@ -24,7 +24,7 @@ EVAL = ("calibration", "holdout")
 
 
 def _vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
+    for b in units.slices(batches, "title"):
         texts = b["title"].tolist()
         h, offsets = units.unit_sets(texts)
         v = h.view(np.int32)

@@ -8,9 +8,11 @@ its pairs of adjacent characters and a Thai run all its runs of four (shorter ru
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 
 OTHER, WORD, PAIRED, THAI = 0, 1, 2, 3
 # Code point ranges of Han and of kana (with the long-vowel and iteration marks).
@@ -43,7 +45,7 @@ def digits() -> np.ndarray:
     return np.array([unicodedata.category(chr(c)) == "Nd" for c in range(0x20000)])
 
 
-@lru_cache(8)
+@lru_cache(2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     inv = pow(R, -1, 1 << 64)
     ones = np.ones(n, np.uint64)
@@ -53,6 +55,18 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
+def slices(batches: Iterator[pd.DataFrame], text: str, chars: int = 1_000_000) -> Iterator[pd.DataFrame]:
+    """The batches in parts of about `chars` characters (one text at least), which bounds the memory of the arrays."""
+    for b in batches:
+        total = np.cumsum([1 if t is None else len(t) + 1 for t in b[text]])
+        at = 0
+        while at < len(b):
+            done = total[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(total, done + chars)))
+            yield b.iloc[at:end]
+            at = end
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser."""
     with np.errstate(over="ignore"):
@@ -72,7 +86,7 @@ def code_points(texts: list) -> tuple[np.ndarray, np.ndarray]:
 
 def _run_hash(cp: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of cp[begin:end], from prefix sums of a polynomial: no loop over runs."""
-    size = 1 << max(12, int(len(cp)).bit_length())
+    size = 1 << max(20, int(len(cp)).bit_length())
     up, down = _powers(size)
     with np.errstate(over="ignore"):
         prefix = np.zeros(len(cp) + 1, np.uint64)
