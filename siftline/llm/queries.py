@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import caps, cutoffs, leaks, neardup, overlap, sentences, splits
+from siftline.llm import caps, cutoffs, langid, leaks, neardup, overlap, sentences, splits
 from siftline.llm.cells import CellIndex
 from siftline.llm.oracle import SQL
 from siftline.session import materialise, table
@@ -15,6 +15,20 @@ from siftline.session import materialise, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "candidates")
+    return langid.stretches(c, langid.fit_on(c, F.col("lang"), ["title", "description"]))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.label_cases(_languages(spark, sf_dir))
+
+
+def p1_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch in one language with its confidence."""
+    return _languages(spark, sf_dir).select("row_id", "field_name", "stretch_start", "stretch_end", "lang", "confidence")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.capped_channels(table(spark, sf_dir, "candidates"), table(spark, sf_dir, "scored"), 25).log().select("row_id")
 
@@ -76,7 +90,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p5_shares, p6_found, p6_report, p7_found, p7_report, p8_found, p8_report, p10_found)}
+    return {f.__name__: f for f in (p1_found, p1_stretches, p2_found, p3_found, p4_found, p5_found, p5_shares, p6_found, p6_report, p7_found, p7_report, p8_found, p8_report, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
