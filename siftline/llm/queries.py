@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import caps, cutoffs, langid, leaks, neardup, overlap, sentences, splits
+from siftline.llm import caps, cutoffs, langid, leaks, mixing, neardup, overlap, sentences, splits
 from siftline.llm.cells import CellIndex
 from siftline.llm.oracle import SQL
 from siftline.session import materialise, table
@@ -85,12 +85,22 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.join(found, "item_id", "left").groupBy("suite").agg(F.countDistinct("item_id").alias("items"), F.countDistinct(F.when(F.col("doc_id").isNotNull(), F.col("item_id"))).alias("leaked_items"), F.countDistinct("doc_id").alias("documents"))
 
 
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of the mix with its copies."""
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual shares per source."""
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentence_units(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_stretches, p2_found, p3_found, p4_found, p5_found, p5_shares, p6_found, p6_report, p7_found, p7_report, p8_found, p8_report, p10_found)}
+    return {f.__name__: f for f in (p1_found, p1_stretches, p2_found, p3_found, p4_found, p5_found, p5_shares, p6_found, p6_report, p7_found, p7_report, p8_found, p8_report, p9_mix, p9_report, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
