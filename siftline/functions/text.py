@@ -74,9 +74,15 @@ def word_count(c: Column | str) -> Column:
     return F.when(t == "", 0).otherwise(F.size(F.split(t, " ")))
 
 
+def number(c: str) -> Column:
+    """The number that a text column holds; null where it holds none, or NaN."""
+    x = F.expr(f"try_cast({c} as double)")
+    return F.when(~F.isnan(x), x)
+
+
 def length_features(title: Column | str = "title", description: Column | str = "description", duration: Column | str = "duration_seconds") -> list[Column]:
     """title_len, desc_len, duration_min, has_desc, title_wc, duration_log."""
-    seconds = F.expr(f"try_cast({duration} as double)") if isinstance(duration, str) else duration.cast("double")
+    seconds = number(duration) if isinstance(duration, str) else duration.cast("double")
     size = F.length(filled(description))
     return [
         F.length(filled(title)).alias("title_len"), size.alias("desc_len"), (F.coalesce(seconds, F.lit(0.0)) / 60).alias("duration_min"),

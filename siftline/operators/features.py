@@ -24,18 +24,27 @@ def strip_accents(text: Column) -> Column:
 
 def word_ngrams(words: Column, first: int, last: int) -> Column:
     """All runs of `first` to `last` words, joined by a blank."""
-    parts = [F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i, n=n: F.array_join(F.slice(words, i + 1, n), " "))).otherwise(F.array().cast("array<string>")) for n in range(first, last + 1)]
-    return F.concat(*parts)
+
+    def runs(n: int) -> Column:
+        at = F.sequence(F.lit(0), F.size(words) - n)
+        return F.when(F.size(words) >= n, F.transform(at, lambda i: F.array_join(F.slice(words, i + 1, n), " "))).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*(runs(n) for n in range(first, last + 1)))
 
 
 def char_wb_ngrams(text: Column, first: int, last: int) -> Column:
-    """Character n-grams inside words, each word framed by blanks; words shorter than n give the framed word once."""
+    """Character n-grams inside words, each word framed by blanks; framed words shorter than n give none."""
     words = F.filter(F.split(F.lower(filled(text)), r"\s+"), lambda w: w != "")
 
     def grams(w: Column) -> Column:
         framed = F.concat(F.lit(" "), w, F.lit(" "))
         size = F.length(framed)
-        return F.flatten(F.array(*(F.when(size > n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i, n=n: F.substring(framed, i, F.lit(n)))).when(size == n, F.array(framed)).otherwise(F.array().cast("array<string>")) for n in range(first, last + 1))))
+
+        def runs(n: int) -> Column:
+            cut = F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(framed, i, F.lit(n)))
+            return F.when(size >= n, cut).otherwise(F.array().cast("array<string>"))
+
+        return F.flatten(F.array(*(runs(n) for n in range(first, last + 1))))
 
     return F.flatten(F.transform(words, grams))
 

@@ -131,7 +131,7 @@ def import_npy(spark: SparkSession, vectors: str, ids: Sequence[str]) -> DataFra
 def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
     """A folder of CSV parts; with bom = True one small file for people, with a byte order mark, by the driver."""
     if not bom:
-        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+        df.write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
         return
     atomic_text(path, df.toPandas().to_csv(index=False), "utf-8-sig")
 
