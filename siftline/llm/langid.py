@@ -43,6 +43,7 @@ WIDTHS = ((2, 8), (3, 24), (4, 32), (5, 16))  # (bytes, filters)
 FILTERS, REACH = sum(f for _, f in WIDTHS), max(w for w, _ in WIDTHS)
 MIN_BYTES = 8  # of letters, for a sentence to be judged at all
 MIN_MAIN, MIN_OTHER = 0.35, 0.75  # confidence that a sentence needs, in the row's main language and in another
+NAME = 16  # characters of a token that can still be a name in a list
 MIN_SHARE = 0.5  # of a sentence in another language that is not masked
 STRETCHES = "row_id bigint, field_name string, stretch_start int, stretch_end int, lang string, confidence double, first boolean, label string, used array<string>"
 
@@ -115,17 +116,21 @@ def cut(texts: list) -> Sentences:
         near = line[1:] == line[:-1]
         time = _in(head, "0123456789") & (cp[np.minimum(opens + 2, len(cp) - 1)] == ord(":"))
         comma = _in(cp[closes], ",،、")
-        drop[1:] |= sign
-        drop[1:-1] |= sign[1:] & near
-        drop[2:] |= (sign | time)[:-1] & near
-        drop[2:] |= comma[1:] & comma[:-1] & near
-        drop[1:-1] |= comma[1:] & comma[:-1] & near
+        joins = alone & _in(head, "&+/")
+        listed = np.zeros(len(opens) + 1, bool)
+        listed[1:] |= sign
+        listed[1:-1] |= joins[1:] & near
+        listed[2:] |= (sign | time)[:-1] & near
+        listed[2:] |= comma[1:] & comma[:-1] & near
+        listed[1:-1] |= comma[1:] & comma[:-1] & near
         last = np.append(~near[1:], True)
-        drop[2:] |= comma[:-1] & near & last & drop[1:-1]
+        listed[2:] |= comma[:-1] & near & last & listed[1:-1]
         start = np.concatenate(([True], ~near))
         pair = start[:-1] & comma[:-1] & near & last  # a line of two names
-        drop[1:-1] |= pair
-        drop[2:] |= pair
+        listed[1:-1] |= pair
+        listed[2:] |= pair
+        listed[1:] &= closes - opens < NAME  # in scripts without blanks a token may be a sentence
+        drop |= listed
     keep = ~(drop[token] & ~blank)
     seg = np.concatenate(([0], np.cumsum(ends)[:-1]))
     width = 1 + (cp >= 0x80).astype(np.int8) + (cp >= 0x800) + (cp >= 0x10000)
@@ -217,7 +222,10 @@ class ByteCNN:
         for epoch in range(epochs):
             if epoch in (epochs // 4, epochs // 2, epochs * 3 // 4):
                 p = np.concatenate([self._forward(windows[i : i + 500])[2] for i in range(0, len(y), 500)])
-                live = np.flatnonzero((p.argmax(1) == y) | (p.max(1) < 0.5))
+                wrong = np.where((p.argmax(1) != y) & (p.max(1) >= 0.5), p.max(1) - p[np.arange(len(y)), y], 0)
+                # A fifth of a class at most, so that no class is lost to another that was learnt earlier.
+                worst = np.array([np.quantile(wrong[y == c], 0.8) if (y == c).any() else 0 for c in range(NONE + 1)])
+                live = np.flatnonzero((wrong == 0) | (wrong < worst[y]))
             order = rng.permutation(live)
             for i in range(0, len(order), batch):
                 rows = order[i : i + batch]
@@ -291,18 +299,20 @@ def train(texts: list[str], labels: list[str], per_class: int = 4000, seed: int
     for i, (r, lo, hi) in enumerate(zip(s.row, s.begin, s.end, strict=True)):
         ws = [w for w in _TOKEN.findall(_lower(texts[r])[lo:hi]) if w[0] not in "#@0123456789"]
         known = sum(w in common for w in ws)
-        if known >= 3 or any(len(w) >= 12 and w > "\u0e00" for w in ws):
+        runs = [len(w) * (0.6 if w < "\u3000" else 1) for w in ws if w > "\u0e00"]  # Thai spells a name with more characters
+        if known >= 3 or max(runs, default=0) >= 10:
             kind[i] = y[r]
-        elif not known and not any(len(w) > 9 and w > "\u0e00" for w in ws):
+        elif not known and max(runs, default=0) <= 7:
             kind[i] = NONE
     z = cut(lists)
     x, target = np.concatenate((_window_matrix(s), _window_matrix(z))), np.concatenate((kind[s.sentence], np.full(len(z.starts), NONE)))
-    # Titles are short and few against the sentences of descriptions: all are taken, twice.
+    # Titles are short and few against the sentences of descriptions: they are taken first, and twice.
     title = np.concatenate((s.begin[s.sentence] == 0, np.zeros(len(z.starts), bool)))
     take = []
     for c in range(NONE + 1):
-        heads, rest = np.flatnonzero((target == c) & title), rng.permutation(np.flatnonzero((target == c) & ~title))
-        take += [heads, heads, rest[: max(0, per_class - 2 * len(heads))]]
+        heads = rng.permutation(np.flatnonzero((target == c) & title))[: per_class // 4]
+        rest = rng.permutation(np.flatnonzero((target == c) & ~title))
+        take += [heads, heads, rest[: per_class - 2 * len(heads)]]
     take = np.concatenate(take)
     model.fit(x[take], target[take])
     return model
