@@ -54,8 +54,8 @@ def out_of_fold(df: DataFrame, key: str, label: str, make: Callable[[DataFrame],
     Folds are stratified by label, or given (for groups). There are at most as many as the smaller class has rows;
     ValueError if that is under two.
     """
-    least = min([r[1] for r in df.groupBy(label).count().collect()] or [0])
-    k = min(folds, least)
+    sizes = [r[1] for r in df.groupBy(label).count().collect()]
+    k = min(folds, min(sizes)) if len(sizes) > 1 else 0
     if k < 2:
         raise ValueError("the smaller class needs two rows")
     f = F.col(fold_col) if fold_col else fold(key, label, k, seed)

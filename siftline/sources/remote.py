@@ -94,7 +94,7 @@ def call_per_row(df: DataFrame, make_client: Callable[[], Callable[[dict], dict]
 
         with ThreadPoolExecutor(workers) as pool:
             for b in batches:
-                yield pd.DataFrame(list(pool.map(one, b.to_dict("records"))), columns=names)
+                yield pd.DataFrame(list(pool.map(one, b.to_dict("records"))), columns=names, dtype=object)
 
     names = [f.name for f in (schema if isinstance(schema, StructType) else StructType.fromDDL(schema)).fields]
     return df.mapInPandas(run, schema)
