@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,21 @@ def build_session(app: str = "siftline", master: str = "local[*]", **conf: objec
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per context, so that their Python finds it whatever their path is."""
+    sc = spark.sparkContext
+    if getattr(sc, "_siftline_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="siftline-package-")
+    target = os.path.join(folder, "siftline.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(Path("siftline") / f.relative_to(root)))
+    sc.addPyFile(target)
+    sc._siftline_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
