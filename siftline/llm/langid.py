@@ -8,8 +8,8 @@ sentence takes the mean of its windows; neighbours in one language form a stretc
 The network is trained on at most `SAMPLE` rows of each label, chosen by hash, their sentences carrying the
 row's label. A sentence counts as language if it has several words that many rows of the sample use, or a
 long run of letters (scripts without blanks); one with none of either, and lists made from the sample's tags,
-train "no language". After half of the
-epochs sentences whose label the network contradicts are left out, because labels may be wrong and rows mixed.
+train "no language". Labels may be wrong and rows mixed: a sentence only trains its row's label if its words,
+counted over all rows of the sample, speak for that label more than for any other.
 Training is deterministic; inference covers whole texts, in one pass without a shuffle.
 """
 
@@ -41,8 +41,9 @@ _TOKEN = re.compile(r"[^\s,.:;!?()\[\]|/&+»★・、。！？؟\-]+")
 WINDOW, CROP = 96, 64  # bytes of a window, and of the random parts of windows in training
 WIDTHS = ((2, 8), (3, 24), (4, 32), (5, 16))  # (bytes, filters)
 FILTERS, REACH = sum(f for _, f in WIDTHS), max(w for w, _ in WIDTHS)
+SMOOTH = 0.1  # of a training label's weight goes to all classes alike
 MIN_BYTES = 8  # of letters, for a sentence to be judged at all
-MIN_MAIN, MIN_OTHER = 0.35, 0.75  # confidence that a sentence needs, in the row's main language and in another
+MIN_MAIN, MIN_OTHER = 0.3, 0.6  # confidence that a sentence needs, in the row's main language and in another
 NAME = 16  # characters of a token that can still be a name in a list
 MIN_SHARE = 0.5  # of a sentence in another language that is not masked
 STRETCHES = "row_id bigint, field_name string, stretch_start int, stretch_end int, lang string, confidence double, first boolean, label string, used array<string>"
@@ -209,34 +210,28 @@ class ByteCNN:
         total = np.add.reduceat(p, cuts) if len(p) else p
         return total / total.sum(1, keepdims=True)
 
-    def fit(self, windows: np.ndarray, y: np.ndarray, epochs: int = 14, batch: int = 128, rate: float = 0.008, seed: int = 3) -> None:
+    def fit(self, windows: np.ndarray, y: np.ndarray, epochs: int = 15, batch: int = 128, rate: float = 0.008, seed: int = 3) -> None:
         """Adam on cross-entropy over random crops of windows (n, WINDOW + REACH) of padded bytes.
 
         The rate falls linearly, pooled filters are dropped at random, and the weights kept are a running mean.
-        Sentences that contradict their label are left out; which ones is judged three times on the way.
         """
         rng = np.random.default_rng(seed)
         params = [self.conv, self.bias, self.out, self.base]
         m, v, mean = ([np.zeros_like(p) for p in params] for _ in range(3))
-        size, live, step, steps = (windows > 0).sum(1), np.arange(len(y)), 0, epochs * (len(y) // batch + 1)
+        size, step, steps = (windows > 0).sum(1), 0, epochs * (len(y) // batch + 1)
         for epoch in range(epochs):
-            if epoch in (epochs // 4, epochs // 2, epochs * 3 // 4):
-                p = np.concatenate([self._forward(windows[i : i + 500])[2] for i in range(0, len(y), 500)])
-                wrong = np.where((p.argmax(1) != y) & (p.max(1) >= 0.5), p.max(1) - p[np.arange(len(y)), y], 0)
-                # A fifth of a class at most, so that no class is lost to another that was learnt earlier.
-                worst = np.array([np.quantile(wrong[y == c], 0.8) if (y == c).any() else 0 for c in range(NONE + 1)])
-                live = np.flatnonzero((wrong == 0) | (wrong < worst[y]))
-            order = rng.permutation(live)
+            order = rng.permutation(len(y))
             for i in range(0, len(order), batch):
                 rows = order[i : i + batch]
                 long = np.where(rng.random(len(rows)) < 0.3, rng.integers(20, CROP, len(rows)), CROP)
                 at = (rng.random(len(rows)) * np.maximum(size[rows] - long + 1, 1)).astype(int)
                 x = windows[rows[:, None], np.minimum(at[:, None] + np.arange(CROP + REACH), WINDOW + REACH - 1)]
                 x = x * (np.arange(CROP + REACH) < long[:, None])
-                live_filters = (rng.random((len(rows), FILTERS)) > 0.2) / np.float32(0.8)
+                live_filters = (rng.random((len(rows), FILTERS)) > 0.3) / np.float32(0.7)
                 arg, h, p = self._forward(x, live_filters)
                 d = p.copy()
-                d[np.arange(len(rows)), y[rows]] -= 1
+                d -= SMOOTH / (NONE + 1)
+                d[np.arange(len(rows)), y[rows]] -= 1 - SMOOTH
                 d /= len(rows)
                 g_out, g_base = h.T @ d, d.sum(0)
                 dh = (d @ self.out.T) * (h > 0) * live_filters
@@ -276,6 +271,37 @@ def _window_matrix(s: Sentences) -> np.ndarray:
     return out
 
 
+def _grams(text: str) -> set[str]:
+    """Words, and pairs of characters of words in scripts without blanks."""
+    out = set()
+    for w in _TOKEN.findall(_lower(text)):
+        if w[0] in "#@0123456789":
+            continue
+        if w > "\u0e00" and not "\uac00" <= w[0] <= "\ud7a3":
+            out.update(w[i : i + 2] for i in range(len(w) - 1))
+        else:
+            out.add(w)
+    return out
+
+
+class _WordVotes:
+    """Naive Bayes over the rows of the sample, each label's rows weighing the same."""
+
+    def __init__(self, rows: list[set[str]], y: np.ndarray):
+        self.index: dict[str, int] = {}
+        for w, n in Counter(w for ws in rows for w in ws).items():
+            if n >= COMMON_ROWS:
+                self.index[w] = len(self.index)
+        counts = np.full((len(self.index) + 1, len(LANGS)), 0.5)
+        for ws, c in zip(rows, y, strict=True):
+            counts[[self.index[w] for w in ws if w in self.index], c] += 1
+        self.score = np.log(counts / (np.bincount(y, minlength=len(LANGS)) + 1))
+
+    def best(self, words: set[str]) -> int:
+        at = [self.index[w] for w in words if w in self.index]
+        return int(self.score[at].sum(0).argmax()) if at else -1
+
+
 def train(texts: list[str], labels: list[str], per_class: int = 4000, seed: int = 11) -> ByteCNN:
     """A network from labelled texts; labels are of LANGS. Without any text every class is equally likely."""
     rng = np.random.default_rng(seed)
@@ -296,12 +322,14 @@ def train(texts: list[str], labels: list[str], per_class: int = 4000, seed: int
     if not len(s.starts) or not lists:
         return model
     kind = np.full(len(s.row), -1)
+    spoken = _WordVotes([_grams(t) for t in texts], y)
     for i, (r, lo, hi) in enumerate(zip(s.row, s.begin, s.end, strict=True)):
         ws = [w for w in _TOKEN.findall(_lower(texts[r])[lo:hi]) if w[0] not in "#@0123456789"]
         known = sum(w in common for w in ws)
         runs = [len(w) * (0.6 if w < "\u3000" else 1) for w in ws if w > "\u0e00"]  # Thai spells a name with more characters
         if known >= 3 or max(runs, default=0) >= 10:
-            kind[i] = y[r]
+            if spoken.best(_grams(texts[r][lo:hi])) == y[r]:
+                kind[i] = y[r]
         elif not known and max(runs, default=0) <= 7:
             kind[i] = NONE
     z = cut(lists)
