@@ -35,3 +35,8 @@ def name_key(c: Column | str) -> Column:
     t = F.regexp_replace(strip(present(c)), r"^(?:.*/(?=@)|[A-Za-z][A-Za-z0-9+.-]*://[^/]*/?)", "")
     t = F.ltrim(F.translate(t, BLANKS, ""), F.lit("@"))
     return F.nullif(F.lower(t), F.lit(""))
+
+
+def group_id(*columns: Column | str) -> Column:
+    """The first present of several columns, such as channel, source_ref, video_id."""
+    return F.coalesce(*(present(c) for c in columns))

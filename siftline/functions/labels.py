@@ -89,3 +89,28 @@ class Loader:
         for p in parts[1:]:
             out = out.unionByName(p, allowMissingColumns=True)
         return keep_by_order(out, [key], ["source_ordinal", "row_ordinal"], last=self.keep == "last").drop("source_ordinal", "row_ordinal")
+
+
+def pending(status: Column | str, retry_errors: bool = False) -> Column:
+    """Whether a row still has to be judged: no status, or an error that is to be tried again."""
+    s = F.upper(F.trim(F.coalesce(_col(status), F.lit(""))))
+    return s.isin("", "ERROR") if retry_errors else s == ""
+
+
+def fill_blank(column: str, value: Column, name: str, source: str) -> list[Column]:
+    """The column with its blanks filled from `value`, and where each filled value came from."""
+    have = F.nullif(F.trim(column), F.lit(""))
+    return [F.coalesce(have, value).alias(column), F.when(have.isNull() & value.isNotNull(), name).alias(source)]
+
+
+def error_kind(c: Column | str, transient: Sequence[str], permanent: Sequence[str]) -> Column:
+    """transient, permanent or unknown, by parts of the error text; passing failures come first."""
+    low = F.lower(F.coalesce(_col(c), F.lit("")))
+
+    def has(parts: Sequence[str]) -> Column:
+        out = F.lit(False)
+        for p in parts:
+            out = out | low.contains(p)
+        return out
+
+    return F.when(has(transient), "transient").when(has(permanent), "permanent").otherwise("unknown")

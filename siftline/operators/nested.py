@@ -66,3 +66,11 @@ def frame_verdict(boxes: Column, share: Column, yes_frames: int, yes_share: floa
     readable = F.size(F.filter(boxes, lambda b: b.isNotNull()))
     n = person_frames(boxes)
     return F.when(F.coalesce(readable, F.lit(0)) <= 0, "ERROR").when((n >= yes_frames) & (F.coalesce(share, F.lit(0.0)) >= yes_share), "T").when(n == 0, "F").otherwise("U")
+
+
+def storyboard_urls(formats: Column, tiers: tuple[str, ...] = STORYBOARD_IDS) -> Column:
+    """array<struct<tier, url>>: the first usable fragment of each storyboard tier, in the given order of tiers."""
+    found = F.filter(formats, lambda f: is_storyboard(f) & F.coalesce(F.size(fragment_urls(f["fragments"])) > 0, F.lit(False)))
+    flat = F.transform(found, lambda f: F.struct(F.array_position(F.array(*(F.lit(t) for t in tiers)), f["format_id"]).alias("rank"), f["format_id"].alias("tier"), F.element_at(fragment_urls(f["fragments"]), 1).alias("url")))
+    ranked = F.array_sort(F.filter(flat, lambda x: x["rank"] > 0))
+    return F.transform(ranked, lambda x: F.struct(x["tier"].alias("tier"), x["url"].alias("url")))

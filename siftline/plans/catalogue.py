@@ -22,7 +22,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from siftline.plans import q_metrics, q_tables, q_text, q_vectors  # noqa: F401
+    from siftline.plans import q_metrics, q_more, q_tables, q_text, q_vectors  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
