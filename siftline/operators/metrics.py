@@ -1,7 +1,7 @@
 """Confusion, ranking and acceptance metrics as aggregates over a scored, labelled table.
 
 Input columns are kind (T, F or U), score and, where hours count, duration_seconds. Rows with a null label or score
-are left out. Curves work on one row per distinct score, counted before any window, so that no window sees raw rows.
+are left out. Curves work on one row per distinct score and on distributed running sums over them.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftline.functions.scoring import wilson_lower
+from siftline.operators.prefix import running_sums
 
 
 def ratio(a: Column, b: Column, empty: float | None = None) -> Column:
@@ -47,9 +48,8 @@ def _by_score(df: DataFrame, positive: Column) -> DataFrame:
 
 def roc_auc(df: DataFrame, positive: Column | None = None) -> DataFrame:
     """(auc, n_pos, n_neg) with ties at half; null where a class is empty."""
-    g = _by_score(df, F.col("kind") != "F" if positive is None else positive)
-    below = F.sum("q").over(Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1))
-    wins = g.withColumn("w", F.col("p") * (F.coalesce(below, F.lit(0)) + F.col("q") / 2))
+    g = running_sums(_by_score(df, F.col("kind") != "F" if positive is None else positive), [F.col("score")], {"upto": "q"})
+    wins = g.withColumn("w", F.col("p") * (F.col("upto") - F.col("q") / 2))
     one = wins.agg(F.sum("w").alias("w"), F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg"))
     return one.select(F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.col("w") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"), F.coalesce("n_pos", F.lit(0)).alias("n_pos"), F.coalesce("n_neg", F.lit(0)).alias("n_neg"))
 
@@ -57,8 +57,8 @@ def roc_auc(df: DataFrame, positive: Column | None = None) -> DataFrame:
 def pr_curve(df: DataFrame, positive: Column | None = None) -> DataFrame:
     """(threshold, tp, n, precision, recall) per distinct score: what is at or above it."""
     g = _by_score(df, F.col("kind") != "F" if positive is None else positive)
-    w = Window.orderBy(F.desc("score"))
-    c = g.withColumn("tp", F.sum("p").over(w)).withColumn("n", F.sum(F.col("p") + F.col("q")).over(w)).withColumn("pos", F.sum("p").over(Window.partitionBy(F.lit(1))))
+    c = running_sums(g.withColumn("m", F.col("p") + F.col("q")), [F.desc("score")], {"tp": "p", "n": "m"})
+    c = c.crossJoin(F.broadcast(c.agg(F.max("tp").alias("pos"))))  # one row
     return c.select(F.col("score").alias("threshold"), "p", "tp", "n", (F.col("tp") / F.col("n")).alias("precision"), ratio(F.col("tp"), F.col("pos")).alias("recall"), "pos")
 
 
@@ -105,8 +105,7 @@ def top_share_metrics(df: DataFrame, percents: list[float], rounding: str = "hal
     k = F.bround(raw, 0) if rounding == "half_even" else F.floor(raw)
     want = F.broadcast(n).crossJoin(F.broadcast(t)).withColumn("k", F.greatest(F.lit(1), k.cast("bigint")))
     g = d.groupBy("score").agg(F.count("*").alias("m"), F.sum("y").alias("ys"))
-    w = Window.orderBy(F.desc("score"))
-    g = g.withColumn("upto", F.sum("m").over(w)).withColumn("good", F.sum("ys").over(w))
+    g = running_sums(g, [F.desc("score")], {"upto": "m", "good": "ys"})
     hit = g.crossJoin(F.broadcast(want)).where((F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("m") < F.col("k")))
     hit = hit.withColumn("nth", F.col("k") - (F.col("upto") - F.col("m"))).withColumn("above", F.col("good") - F.col("ys"))
     ties = d.join(F.broadcast(hit.select("percent", "score", "nth")), "score").withColumn("r", F.row_number().over(Window.partitionBy("percent", "score").orderBy("key")))

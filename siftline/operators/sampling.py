@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftline.operators.prefix import quantiles
+
 
 def lot(seed: int | str, key: str) -> Column:
     """The place of a row in the seeded order."""
@@ -38,8 +40,8 @@ def balanced_sample(df: DataFrame, label: str, classes: Sequence[str], most: int
 
 
 def quantile_bands(df: DataFrame, value: str, cuts: Sequence[float], names: Sequence[str]) -> DataFrame:
-    """Adds band: from the highest quantile cut down, value >= quantile; names has one more entry than cuts."""
-    q = df.agg(F.percentile(value, F.array(*(F.lit(c) for c in cuts))).alias("q"))
+    """Adds band: from the highest quantile cut down, value >= quantile; cuts fall, and names has one more entry."""
+    q = quantiles(df, value, cuts).agg(F.reverse(F.array_sort(F.collect_list("value"))).alias("q"))
     case = None
     for i, name in enumerate(names[:-1]):
         hit = F.col(value) >= F.col("q")[i]
@@ -95,8 +97,12 @@ def _k_center(key: str, vector: str, k: int):
 
 
 def fold(key: str, label: str, k: int, seed: int | str) -> Column:
-    """Stratified fold of a row: its rank in the seeded order of its class, modulo k."""
-    return F.row_number().over(Window.partitionBy(label).orderBy(lot(seed, key), key)) % k
+    """Stratified fold of a row: its rank in the seeded order of a part of its class, modulo k.
+
+    Classes are ranked in 64 parts by hash, each starting at another fold, so that no class is one task.
+    """
+    part = F.pmod(F.xxhash64(F.lit(str(seed)), F.col(key)), F.lit(64))
+    return ((F.row_number().over(Window.partitionBy(label, part).orderBy(lot(seed, key), key)) + part) % k).cast("int")
 
 
 def group_split(group: Column, shares: Mapping[str, float], seed: int | str) -> Column:
