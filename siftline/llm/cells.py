@@ -107,9 +107,12 @@ class CellIndex:
 
     def probe(self, vectors: DataFrame) -> DataFrame:
         """(row_id, first_row_id): rows that repeat a row of a smaller batch_no by video or title, with the smallest such row_id."""
-        q = vectors.groupBy("set_key", "numbers", "batch_no").agg(F.first("units").alias("units"))
+        cells = self.spark.read.parquet(f"{self.path}/cells")
+        # Batches outside these bounds cannot meet: neither side of the join has to move them.
+        oldest, newest = cells.agg(F.min("batch_no")).first()[0], vectors.agg(F.max("batch_no")).first()[0]
+        q = vectors.where(F.col("batch_no") > F.lit(oldest)).groupBy("set_key", "numbers", "batch_no").agg(F.first("units").alias("units"))
         q = self._prefix(q)
-        c = self.spark.read.parquet(f"{self.path}/cells").select(
+        c = cells.where(F.col("batch_no") < F.lit(newest)).select(
             "cell", "numbers", "first_row_id", F.col("pos").alias("c_pos"), F.col("batch_no").alias("c_batch"), F.col("units").alias("c_units")
         )
         t = self.threshold
