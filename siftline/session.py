@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -10,6 +12,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[str] = []  # folders below the shared one
+
 
 def build_session(app: str = "siftline", master: str = "local[*]", **conf: object) -> SparkSession:
     """A session with the settings that the operators assume (UTC, adaptive execution)."""
@@ -33,6 +37,7 @@ def ship(spark: SparkSession) -> None:
         return
     root = Path(__file__).resolve().parent
     folder = tempfile.mkdtemp(prefix="siftline-package-")
+    atexit.register(shutil.rmtree, folder, True)
     target = os.path.join(folder, "siftline.zip")
     with zipfile.ZipFile(target, "w") as z:
         for f in sorted(root.rglob("*.py")):
@@ -53,7 +58,9 @@ def shared_dir(spark: SparkSession) -> str:
         known = jsc.getCheckpointDir()
         if known.isDefined():
             return known.get()
-        conf = "file://" + tempfile.mkdtemp(prefix="siftline-")
+        private = tempfile.mkdtemp(prefix="siftline-")
+        atexit.register(shutil.rmtree, private, True)
+        conf = "file://" + private
         spark.sparkContext.setCheckpointDir(conf)
     elif not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(conf)
@@ -62,7 +69,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return os.path.join(shared_dir(spark), f"siftline-{uuid.uuid4().hex}", name)
+    root = os.path.join(shared_dir(spark), f"siftline-{uuid.uuid4().hex}")
+    _made.append(root)
+    return os.path.join(root, name)
+
+
+def clean_work(spark: SparkSession) -> int:
+    """Deletes what this process wrote to the shared folder; results that still read from it must be saved before."""
+    count = len(_made)
+    for root in _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _made.clear()
+    return count
 
 
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

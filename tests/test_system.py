@@ -186,6 +186,15 @@ def test_stages(spark, tmp_path):
         reg.get("y")
 
 
+def test_work_tables_can_be_cleaned(spark):
+    from siftline.session import clean_work, materialise
+
+    clean_work(spark)
+    df = materialise(spark.range(3), "x")
+    assert df.count() == 3 and clean_work(spark) == 1 and clean_work(spark) == 0
+    assert not os.path.exists(df.inputFiles()[0].removeprefix("file://")) if df.inputFiles() else True
+
+
 def test_entry_and_catalogue(spark, sf):
     import __spark_entry__ as e
 
