@@ -287,14 +287,13 @@ def _grams(text: str) -> set[str]:
 class _WordVotes:
     """Naive Bayes over the rows of the sample, each label's rows weighing the same."""
 
-    def __init__(self, rows: list[set[str]], y: np.ndarray):
-        self.index: dict[str, int] = {}
-        for w, n in Counter(w for ws in rows for w in ws).items():
-            if n >= COMMON_ROWS:
-                self.index[w] = len(self.index)
+    def __init__(self, texts: list[str], y: np.ndarray):
+        rows_with = Counter(w for t in texts for w in _grams(t))
+        self.index = {w: i for i, w in enumerate(w for w, n in rows_with.items() if n >= COMMON_ROWS)}
+        del rows_with
         counts = np.full((len(self.index) + 1, len(LANGS)), 0.5)
-        for ws, c in zip(rows, y, strict=True):
-            counts[[self.index[w] for w in ws if w in self.index], c] += 1
+        for t, c in zip(texts, y, strict=True):
+            counts[[self.index[w] for w in _grams(t) if w in self.index], c] += 1
         self.score = np.log(counts / (np.bincount(y, minlength=len(LANGS)) + 1))
 
     def best(self, words: set[str]) -> int:
@@ -306,36 +305,40 @@ def train(texts: list[str], labels: list[str], per_class: int = 4000, seed: int
     """A network from labelled texts; labels are of LANGS. Without any text every class is equally likely."""
     rng = np.random.default_rng(seed)
     model = ByteCNN()
-    s = cut(texts)
     y = np.array([LANGS.index(c) for c in labels], np.int64)
-    tokens = [_TOKEN.findall(_lower(t)) for t in texts]
-    rows_with = Counter(w for ws in tokens for w in set(ws))
-    common = {w for w, n in rows_with.items() if n >= COMMON_ROWS}
+    common = {w for w, n in Counter(w for t in texts for w in set(_TOKEN.findall(_lower(t)))).items() if n >= COMMON_ROWS}
+    spoken = _WordVotes(texts, y)
     names: dict[int, list[str]] = {}
     for t, c in zip(texts, y, strict=True):
         names.setdefault(int(c), []).extend(w.strip("#@") for w in t.split() if w[0] in "#@")
+    windows, target, title = [], [], []
+    for at in range(0, len(texts), 500):
+        part = texts[at : at + 500]
+        s = cut(part)
+        kind = np.full(len(s.row), -1)
+        for i, (r, lo, hi) in enumerate(zip(s.row, s.begin, s.end, strict=True)):
+            ws = [w for w in _TOKEN.findall(_lower(part[r])[lo:hi]) if w[0] not in "#@0123456789"]
+            known = sum(w in common for w in ws)
+            runs = [len(w) * (0.6 if w < "\u3000" else 1) for w in ws if w > "\u0e00"]  # Thai spells a name with more characters
+            if known >= 3 or max(runs, default=0) >= 10:
+                if spoken.best(_grams(part[r][lo:hi])) == y[at + r]:
+                    kind[i] = y[at + r]
+            elif not known and max(runs, default=0) <= 7:
+                kind[i] = NONE
+        windows.append(_window_matrix(s))
+        target.append(kind[s.sentence])
+        title.append(s.begin[s.sentence] == 0)
     lists = []
-    for pool in names.values():
+    for pool in map(np.array, names.values()):
         for _ in range(min(400, 20 * len(pool))):
             sep = (" & ", " / ", ", ", " + ", " ", " - ", "・")[rng.integers(7)]
             lists.append(sep.join(rng.choice(pool, rng.integers(1, 7))))
-    if not len(s.starts) or not lists:
+    if not windows or not lists:
         return model
-    kind = np.full(len(s.row), -1)
-    spoken = _WordVotes([_grams(t) for t in texts], y)
-    for i, (r, lo, hi) in enumerate(zip(s.row, s.begin, s.end, strict=True)):
-        ws = [w for w in _TOKEN.findall(_lower(texts[r])[lo:hi]) if w[0] not in "#@0123456789"]
-        known = sum(w in common for w in ws)
-        runs = [len(w) * (0.6 if w < "\u3000" else 1) for w in ws if w > "\u0e00"]  # Thai spells a name with more characters
-        if known >= 3 or max(runs, default=0) >= 10:
-            if spoken.best(_grams(texts[r][lo:hi])) == y[r]:
-                kind[i] = y[r]
-        elif not known and max(runs, default=0) <= 7:
-            kind[i] = NONE
     z = cut(lists)
-    x, target = np.concatenate((_window_matrix(s), _window_matrix(z))), np.concatenate((kind[s.sentence], np.full(len(z.starts), NONE)))
+    x, target = np.concatenate((*windows, _window_matrix(z))), np.concatenate((*target, np.full(len(z.starts), NONE)))
     # Titles are short and few against the sentences of descriptions: they are taken first, and twice.
-    title = np.concatenate((s.begin[s.sentence] == 0, np.zeros(len(z.starts), bool)))
+    title = np.concatenate((*title, np.zeros(len(z.starts), bool)))
     take = []
     for c in range(NONE + 1):
         heads = rng.permutation(np.flatnonzero((target == c) & title))[: per_class // 4]
@@ -346,12 +349,21 @@ def train(texts: list[str], labels: list[str], per_class: int = 4000, seed: int
     return model
 
 
-def fit_on(df: DataFrame, label: Column, fields: list[str], sample: int = SAMPLE) -> ByteCNN:
-    """Train on at most `sample` labelled rows of each language, the first by hash of their texts."""
+def fit_on(df: DataFrame, label: Column, fields: list[str], key: str = "row_id", sample: int = SAMPLE) -> ByteCNN:
+    """Train on at most `sample` labelled rows of each language, the first by hash of their key.
+
+    The hashes alone are ranked; texts are read only of rows up to each language's last hash.
+    """
+    marked = df.select(label_code(label).alias("label"), F.xxhash64(key).alias("h"), *fields)
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("h"))  # limited before the shuffle
+    last = marked.where("label is not null").select("label", "h").withColumn("n", rank).where(F.col("n") <= sample).groupBy("label").agg(F.max("h").alias("h")).collect()
+    if not last:
+        return ByteCNN()
+    wanted = F.lit(False)
+    for r in last:  # a row per language
+        wanted = wanted | ((F.col("label") == r.label) & (F.col("h") <= r.h))
     text = F.concat_ws("\n", *(present(f) for f in fields))
-    rows = df.select(text.alias("text"), label_code(label).alias("label")).where("label is not null and text <> ''")
-    first = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("text"), "text"))  # limited before the shuffle
-    rows = rows.withColumn("n", first).where(F.col("n") <= sample).orderBy("label", "n").collect()
+    rows = marked.where(wanted).select("label", "h", text.alias("text")).where("text <> ''").orderBy("label", "h", "text").limit(sample * len(LANGS)).collect()
     return train([r.text for r in rows], [r.label for r in rows])
 
 
