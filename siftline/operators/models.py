@@ -39,9 +39,9 @@ def balanced(df: DataFrame, label: str = "y") -> DataFrame:
     return df.withColumn("weight", case)
 
 
-def logistic(n_weight: float, c: float = 1.0, iterations: int = 100) -> LogisticRegression:
+def logistic(n_weight: float, c: float = 1.0, iterations: int = 50) -> LogisticRegression:
     """L2 with the strength that C stands for over the summed weight; features are taken as they are."""
-    return LogisticRegression(featuresCol="features", labelCol="y", weightCol="weight", regParam=1.0 / (c * max(n_weight, 1.0)), elasticNetParam=0.0, standardization=False, maxIter=iterations)
+    return LogisticRegression(featuresCol="features", labelCol="y", weightCol="weight", regParam=1.0 / (c * max(n_weight, 1.0)), elasticNetParam=0.0, standardization=False, maxIter=iterations, tol=1e-4)
 
 
 def probability(df: DataFrame, column: str = "probability") -> DataFrame:
@@ -62,7 +62,7 @@ def out_of_fold(df: DataFrame, key: str, label: str, make: Callable[[DataFrame],
     d = df.withColumn("fold", f).persist()
     out = None
     for i in sorted(r[0] for r in d.select("fold").distinct().collect()):
-        train = balanced(d.where(F.col("fold") != i), label)
+        train = balanced(d.where(F.col("fold") != i), label).coalesce(1 + sum(sizes) // 2000)  # an iteration costs a job: no more tasks than rows are worth
         scored = probability(make(train).fit(train).transform(d.where(F.col("fold") == i))).select(key, F.col(label).alias("y"), "fold", "score")
         out = scored if out is None else out.union(scored)
     return out
