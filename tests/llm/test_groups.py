@@ -115,6 +115,22 @@ def test_near_duplicates_of_nothing(spark):
     assert neardup.near_duplicate_groups(df, "row_id", neardup.joined_text("title", "description")).count() == 0
 
 
+def linked_at_the_threshold(spark, n=1000):
+    """Share of n pairs of similarity 40 / 66 that are found."""
+    rows = []
+    for i in range(n):
+        shared = " ".join(f"s{i}w{k}" for k in range(40))
+        rows += [(2 * i + side, shared, " ".join(f"{'ab'[side]}{i}w{k}" for k in range(13))) for side in (0, 1)]
+    df = spark.createDataFrame(rows, "row_id bigint, title string, description string")
+    got = neardup.group_pairs(neardup.near_duplicate_groups(df, "row_id", neardup.joined_text("title", "description"))).collect()
+    assert all(r.row_id_a + 1 == r.row_id_b and r.row_id_a % 2 == 0 for r in got)
+    return len(got) / n
+
+
+def test_hamming_filter_keeps_links_at_the_threshold(spark):
+    assert linked_at_the_threshold(spark) >= 0.95
+
+
 def titles(seed, n):
     rng = random.Random(seed)
     rows = []
