@@ -131,6 +131,18 @@ def test_hamming_filter_keeps_links_at_the_threshold(spark):
     assert linked_at_the_threshold(spark) >= 0.95
 
 
+def test_golay_keys_meet_links_at_the_threshold(spark):
+    assert linked_at_the_threshold(spark) >= 0.99
+
+
+def test_golay_segments_are_apart():
+    bits = [np.zeros((1, golay.LANES), np.uint64) for _ in range(golay.LANES * 64)]
+    for i, lanes in enumerate(bits):
+        lanes[0, i // 64] = np.uint64(1) << np.uint64(i % 64)
+    for i, lanes in enumerate(bits):
+        assert [j for j in range(golay.WORDS) if golay.word(lanes, j)[0]] == [j for j in (i // 23,) if j < golay.WORDS]
+
+
 def titles(seed, n):
     rng = random.Random(seed)
     rows = []
