@@ -78,19 +78,43 @@ class CellIndex:
     Input rows have row_id (unique), batch_no, video_id, title; further columns are ignored, whatever
     their names. Rows without a title (null, blank, `nan`, or no unit in it) match by video only, rows
     without a video by title only, rows with a null row_id or batch_no not at all.
+
+    Axes and threshold lie beside the cells; an index on a path that has them takes the axes over and needs the same
+    threshold. Cells without axes (written before these were kept) raise a ValueError: their order is lost.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, threshold: float = 0.6):
         self.spark, self.path, self.threshold = spark, path or work_path(spark, "cells"), threshold
-        self.axes: np.ndarray | None = None
+        self.axes = self._stored_axes() if path else None
+
+    def _exists(self, name: str) -> bool:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
+
+    def _stored_axes(self) -> np.ndarray | None:
+        if not self._exists("axes/_SUCCESS"):
+            if self._exists("cells"):
+                raise ValueError(f"{self.path} holds cells but not the axes they are filed by")
+            return None
+        row = self.spark.read.parquet(f"{self.path}/axes").first()
+        if row.threshold != self.threshold:
+            raise ValueError(f"{self.path} is filed for threshold {row.threshold}, not {self.threshold}")
+        return np.array(row.axes, np.int32)
+
+    def _store_axes(self) -> None:
+        row = [(float(self.threshold), self.axes.tolist())]
+        self.spark.createDataFrame(row, "threshold double, axes array<int>").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/axes")
 
     def vectors(self, rows: DataFrame) -> DataFrame:
-        """The rows with their vectors; fits the axes on the first call."""
+        """The rows with their vectors; fits and stores the axes on the first call for a new path."""
         base = rows.where("row_id is not null and batch_no is not null").select(
             F.col("row_id").cast("bigint"), F.col("batch_no").cast("int"), bare_video_id("video_id").alias("video"), present("title").alias("title")
         )
+        if self.axes is None:
+            self.axes = self._stored_axes()  # another index may have begun the path since
         if self.axes is None:
             self.axes = fit_axes(base)
+            self._store_axes()
         return base.mapInPandas(_vectors(self.axes), VECTOR)
 
     def _prefix(self, v: DataFrame) -> DataFrame:

@@ -191,6 +191,27 @@ def test_history_in_bulk_and_batch_by_batch(spark):
     assert found == want
 
 
+def test_history_is_taken_up_by_another_index(spark, tmp_path):
+    rng = random.Random(6)
+    low, high = WORDS[:8], WORDS[8:16]  # common in the first batch, and in the second
+    mixed = [" ".join(rng.sample(low, 3) + rng.sample(high, 3)) for _ in range(40)]
+    old = [(i, None, t, 0) for i, t in enumerate(mixed + [" ".join(rng.sample(low, 5)) for _ in range(60)])]
+    new = [(100 + i, None, t, 1) for i, t in enumerate(mixed + [" ".join(rng.sample(high, 5)) for _ in range(60)])]
+    schema = "row_id bigint, video_id string, title string, batch_no int"
+    want = set()
+    for y in new:
+        earlier = [x[0] for x in old if same(x, y)]
+        if earlier:
+            want.add((min(earlier), y[0]))
+    first = CellIndex(spark, str(tmp_path / "index"))
+    first.append(first.vectors(spark.createDataFrame(old, schema)))
+    second = CellIndex(spark, str(tmp_path / "index"))
+    got = {(r.first_row_id, r.row_id) for r in second.probe(second.vectors(spark.createDataFrame(new, schema))).collect()}
+    assert len(want) >= 40 and got == want
+    with pytest.raises(ValueError, match="threshold"):
+        CellIndex(spark, str(tmp_path / "index"), threshold=0.5)
+
+
 def test_history_of_nothing(spark):
     index = CellIndex(spark)
     v = index.vectors(spark.createDataFrame([], "row_id bigint, video_id string, title string, batch_no int"))
