@@ -264,6 +264,13 @@ class ByteCNN:
         return arg, h, z / z.sum(1, keepdims=True)
 
 
+def _undecided() -> ByteCNN:
+    """A network without training: every class is equally likely, so that no sentence is sure of one."""
+    model = ByteCNN()
+    model.out[:] = 0
+    return model
+
+
 def _window_matrix(s: Sentences) -> np.ndarray:
     out = np.zeros((len(s.starts), WINDOW + REACH), np.uint8)
     for i, (a, n) in enumerate(zip(s.starts, s.size, strict=True)):
@@ -302,7 +309,10 @@ class _WordVotes:
 
 
 def train(texts: list[str], labels: list[str], per_class: int = 4000, seed: int = 11) -> ByteCNN:
-    """A network from labelled texts; labels are of LANGS. Without any text every class is equally likely."""
+    """A network from labelled texts; labels are of LANGS. Lists of tags train "no language" if there are any.
+
+    Without a sentence to train on every class is equally likely, and no stretch comes out.
+    """
     rng = np.random.default_rng(seed)
     model = ByteCNN()
     y = np.array([LANGS.index(c) for c in labels], np.int64)
@@ -333,12 +343,15 @@ def train(texts: list[str], labels: list[str], per_class: int = 4000, seed: int
         for _ in range(min(400, 20 * len(pool))):
             sep = (" & ", " / ", ", ", " + ", " ", " - ", "・")[rng.integers(7)]
             lists.append(sep.join(rng.choice(pool, rng.integers(1, 7))))
-    if not windows or not lists:
-        return model
-    z = cut(lists)
-    x, target = np.concatenate((*windows, _window_matrix(z))), np.concatenate((*target, np.full(len(z.starts), NONE)))
+    if lists:
+        z = cut(lists)
+        windows.append(_window_matrix(z))
+        target.append(np.full(len(z.starts), NONE))
+        title.append(np.zeros(len(z.starts), bool))
+    if not any((t >= 0).any() for t in target):
+        return _undecided()
+    x, target, title = np.concatenate(windows), np.concatenate(target), np.concatenate(title)
     # Titles are short and few against the sentences of descriptions: they are taken first, and twice.
-    title = np.concatenate((*title, np.zeros(len(z.starts), bool)))
     take = []
     for c in range(NONE + 1):
         heads = rng.permutation(np.flatnonzero((target == c) & title))[: per_class // 4]
@@ -358,7 +371,7 @@ def fit_on(df: DataFrame, label: Column, fields: list[str], key: str = "row_id",
     rank = F.row_number().over(Window.partitionBy("label").orderBy("h"))  # limited before the shuffle
     last = marked.where("label is not null").select("label", "h").withColumn("n", rank).where(F.col("n") <= sample).groupBy("label").agg(F.max("h").alias("h")).collect()
     if not last:
-        return ByteCNN()
+        return _undecided()
     wanted = F.lit(False)
     for r in last:  # a row per language
         wanted = wanted | ((F.col("label") == r.label) & (F.col("h") <= r.h))

@@ -1,5 +1,6 @@
 """Sentence units and languages."""
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -93,6 +94,26 @@ def test_language_cases(labelled, spark):
     assert langid.stretches(df.limit(0), model).count() == 0
 
 
+def test_languages_are_learned_without_tags(spark, sf):
+    c = spark.read.parquet(f"{sf}/../sf0.01/candidates.parquet")
+    rows = c.select(langid.label_code("lang").alias("label"), *(F.regexp_replace(langid.present(f), "[#@]", "").alias(f) for f in ("title", "description")), "row_id").where("label is not null and title is not null and description is not null").orderBy(F.xxhash64("row_id")).limit(1500).toPandas()
+    text, held = rows["title"] + "\n" + rows["description"], rows[1200:].reset_index(drop=True)
+    model = langid.train(text[:1200].tolist(), rows["label"][:1200].tolist(), per_class=800)
+    out = pd.concat(langid._detector(model, ["title", "description"])(iter([held])))
+    main = out.assign(size=out.stretch_end - out.stretch_start).sort_values("size").groupby("row_id").last()
+    both = held.set_index("row_id").join(main, how="inner", rsuffix="_got")
+    assert len(both) > 0.8 * len(held) and (both["label"] == both["lang"]).mean() > 0.8
+
+
+def test_nothing_to_train_on_gives_no_stretches(spark):
+    en = "Later that evening Zirode polished the bread oven behind the chapel because the first attempt failed."
+    df = spark.createDataFrame([(1, en, en, None), (2, en, None, "xx")], "row_id bigint, title string, description string, lang string")
+    unlabelled = langid.fit_on(df, F.col("lang"), ["title", "description"])
+    for model in (unlabelled, langid.train([], []), langid.train(["one", "two"], ["en", "de"])):
+        assert np.allclose(model.probabilities(langid.cut([en])), 1 / (langid.NONE + 1))
+        assert langid.stretches(df, model).count() == 0
+
+
 def test_label_codes(spark):
     given = ["en-US", "pt_BR", "zh-Hans", "German", "deu", "ES", "und", "xx", "", None, "nan", " fr "]
     got = [r[0] for r in spark.createDataFrame([(x,) for x in given], "lang string").select(langid.label_code("lang")).collect()]
