@@ -25,7 +25,8 @@ LINE_BREAK = regex.compile(r"[\n\r\x0b\x0c\x85  ]+")
 CANDIDATE = regex.compile(rf"[{MARKS}]+(?:[^\S\n\r\x0b\x0c\x85  ]*[\p{{Extended_Pictographic}}\U0001F1E6-\U0001F1FF][\p{{Extended_Pictographic}}\U0001F1E6-\U0001F1FF\U0001F3FB-\U0001F3FF️‍]*)*|(?<=[\p{{L}}\p{{M}}])(?<=\p{{Thai}})[  　\t]+(?=\p{{Thai}})(?=[\p{{L}}\p{{M}}])")
 QUOTES = regex.compile('["“”„«»‹›「」『』]')
 CLOSES = {'"': '"', "“": "”", "„": "“”", "«": "»", "»": "«", "‹": "›", "›": "‹", "「": "」", "『": "』"}
-WINDOW = 48  # characters that a rule may look at on either side
+ADDRESS = regex.compile(r"(?i:://|www\.|@)\S*")
+WINDOW = 48  # characters that a rule may look at on either side; addresses are followed over any length
 
 # Abbreviations that never end a unit, by language, in any case (the mark is not part of them).
 ABBREVIATIONS = {
@@ -120,7 +121,8 @@ def units(text: str | None, lang: str | None = None) -> list[tuple[int, int]]:
         brk = LINE_BREAK.search(text, line)
         stop = brk.start() if brk else n
         spans = quoted(text, line, stop)
-        start, s = line, 0
+        addresses = [m.span() for m in ADDRESS.finditer(text, line, stop)]
+        start, s, link = line, 0, 0
         for m in CANDIDATE.finditer(text, line, stop):
             at = m.start()
             if m.group()[0] not in MARKS:
@@ -134,6 +136,11 @@ def units(text: str | None, lang: str | None = None) -> list[tuple[int, int]]:
             mark = at
             while mark < m.end() and text[mark] in MARKS:
                 mark += 1
+            while link < len(addresses) and addresses[link][1] <= at:
+                link += 1
+            inside = link < len(addresses) and addresses[link][0] < at
+            if inside and text[at:mark] == "." and mark < stop and (text[mark].isalnum() or text[mark] == "_"):
+                continue
             before, after = text[max(line, mark - WINDOW) : mark], text[mark : min(stop, mark + WINDOW)]
             for b, a, ends in rules:
                 if a.match(after) and b.search(before):

@@ -50,6 +50,12 @@ def test_sentences_are_ordered_and_lose_nothing(spark, sf):
         assert "".join("".join(text[a:b].split()) for a, b in spans) == "".join((text or "").split())
 
 
+def test_long_addresses_are_not_cut():
+    for head in ("https://site.test/", "www.site.test/", "someone@"):
+        text = f"See {head}{'a' * 60}.alpha/{'b' * 60}.beta now. Next one."
+        assert [text[a:b] for a, b in sentences.units(text, "en")] == [text[:-10], "Next one."]
+
+
 def test_sentence_query_edges(spark):
     rows = [(1, None, "en"), (2, "", None), (3, "One. Two.", "zz"), (3, "One. Two.", "zz"), (None, "x", "en"), (4, "word. " * 30_000, None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").withColumn("sent_start", F.lit("clash"))
