@@ -85,6 +85,16 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.join(found, "item_id", "left").groupBy("suite").agg(F.countDistinct("item_id").alias("items"), F.countDistinct(F.when(F.col("doc_id").isNotNull(), F.col("item_id"))).alias("leaked_items"), F.countDistinct("doc_id").alias("documents"))
 
 
+def p8_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each leak stands in its document, how long it is, and how much of the item the document covers."""
+    return leaks.covered(leaks.leak_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")))
+
+
+def p8_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the spans over the limits of length and coverage."""
+    return leaks.clean(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of the mix with its copies."""
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
@@ -100,7 +110,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_stretches, p2_found, p3_found, p4_found, p5_found, p5_shares, p6_found, p6_report, p7_found, p7_report, p8_found, p8_report, p9_mix, p9_report, p10_found)}
+    return {f.__name__: f for f in (p1_found, p1_stretches, p2_found, p3_found, p4_found, p5_found, p5_shares, p6_found, p6_report, p7_found, p7_report, p8_found, p8_report, p8_spans, p8_clean, p9_mix, p9_report, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:

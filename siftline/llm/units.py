@@ -8,7 +8,7 @@ its pairs of adjacent characters and a Thai run all its runs of four (shorter ru
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -75,9 +75,9 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(33))
 
 
-def code_points(texts: list) -> tuple[np.ndarray, np.ndarray]:
+def code_points(texts: list, lower: Callable[[str], str] = str.lower) -> tuple[np.ndarray, np.ndarray]:
     """Lower-cased code points of all texts, joined by line feeds, and each text's start."""
-    low = ["" if t is None else t.lower() for t in texts]
+    low = ["" if t is None else lower(t) for t in texts]
     cp = np.frombuffer("\n".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
     starts = np.zeros(len(low), np.int64)
     np.cumsum([len(t) + 1 for t in low[:-1]], out=starts[1:]) if len(low) > 1 else None
@@ -102,12 +102,10 @@ def _runs(kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin[keep], end[keep]
 
 
-def words(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """In text order: 64-bit hash, row and class of every run of letters, digits and marks (runs of one class)."""
-    cp, starts = code_points(texts)
-    kind = classes()[cp]
-    begin, end = _runs(kind)
-    return _run_hash(cp, begin, end), np.searchsorted(starts, begin, "right") - 1, kind[begin]
+def words(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """In text order: 64-bit hash, begin and end of every run of letters, digits and marks (runs of one class)."""
+    begin, end = _runs(classes()[cp])
+    return _run_hash(cp, begin, end), begin, end
 
 
 def _distinct(row: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

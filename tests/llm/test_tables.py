@@ -137,6 +137,55 @@ def test_leaks_against_windows(spark):
     assert got == want and (50, 200) in got and (50, 201) not in got
     assert leaks.leaks(ddf.limit(0), idf).count() == 0 and leaks.leaks(ddf, idf.limit(0)).count() == 0
     assert items_copy is None
+    # Spans: a word lies in one if and only if some window of 13 words around it stands in the item.
+    text = dict(docs)
+    got = {}
+    for r in leaks.leak_spans(ddf, idf).collect():
+        got.setdefault((r.item_id, r.doc_id), set()).update(range(r.span_start, r.span_end))
+    for i, d in want - {(50, 200)}:
+        p = dict(items)[i].split()
+        grams = {tuple(p[k : k + 13]) for k in range(len(p) - 12)}
+        ws = [(m.group().lower(), *m.span()) for m in regex.finditer(r"\w+", text[d])]
+        inside = set()
+        for k in range(len(ws) - 12):
+            if tuple(w for w, _, _ in ws[k : k + 13]) in grams:
+                inside.update(range(ws[k][1], ws[k + 12][2]))
+        assert got[i, d] == inside
+    assert set(got) == want
+
+
+def test_leaks_are_removed(spark):
+    p = [f"p{i}" for i in range(40)]
+    q = [f"q{i}" for i in range(18)]
+    items = spark.createDataFrame([(1, " ".join(p)), (2, " ".join(q)), (3, None)], "item_id bigint, passage string")
+    long, short, much = " ".join(p[3:17]), " ".join(p[3:12]), " ".join(q[2:12])
+    docs = [(1, f"Before {long.upper()}, after."), (2, f"Before {short}, after."), (3, f"Before {much}, after."), (4, None), (5, ""), (6, "İİ " + long + " end"), (None, "x"), (7, f"{long}. {long}"), (8, f"a {long} b {much} c")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("cuts", F.lit("clash")).withColumn("tokens", F.lit(0))
+    got = {r.doc_id: (r.text, r.removed) for r in leaks.clean(df, items).collect()}
+    assert got[1] == ("Before , after.", len(long)) and got[2] == (docs[1][1], 0)  # nine words of forty stay
+    assert got[3] == ("Before , after.", len(much))  # ten words of eighteen do not
+    assert got[4] == (None, 0) and got[5] == ("", 0) and got[None] == ("x", 0)
+    assert got[6] == ("İİ  end", len(long)) and got[7] == (". ", 2 * len(long)) and got[8][0] == "a  b  c"
+    assert leaks.clean(df, items.limit(0)).where("removed > 0").count() == 0
+    assert leaks.clean(df.limit(0), items).count() == 0
+
+
+def test_leaks_in_many_blocks_and_long_runs(spark, monkeypatch):
+    monkeypatch.setattr(leaks, "BLOCK_TOKENS", 40)
+    monkeypatch.setattr(leaks, "PASS_BLOCKS", 2)
+    rng = random.Random(3)
+    vocab = [f"w{i}" for i in range(12)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(20))) for i in range(9)]
+    body = " ".join(rng.choice(vocab) for _ in range(1500))
+    docs = [(1, body + " " + items[4][1] + " " + body), (2, body), (3, " ".join(p for _, p in items))]
+    got = {(r.item_id, r.doc_id) for r in leaks.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, passage string")).collect()}
+    want = set()
+    for i, p in items:
+        w = p.split()
+        for d, t in docs:
+            if any(f" {' '.join(w[k : k + 13])} " in f" {t} " for k in range(8)):
+                want.add((i, d))
+    assert got == want and (4, 1) in got
 
 
 def test_mixing_meets_targets_and_caps(spark):
