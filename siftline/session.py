@@ -51,13 +51,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a private one is set only where the session names none."""
+    """The folder all executors share. In local mode a private one is made where the session names none; on a cluster that raises RuntimeError."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         jsc = spark.sparkContext._jsc.sc()
         known = jsc.getCheckpointDir()
         if known.isDefined():
             return known.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         private = tempfile.mkdtemp(prefix="siftline-")
         atexit.register(shutil.rmtree, private, True)
         conf = "file://" + private
@@ -67,6 +69,28 @@ def shared_dir(spark: SparkSession) -> str:
     return conf
 
 
+def _fs(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at, fs = _fs(spark, path)
+    return fs.exists(at)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of the shared file system; none if it does not exist."""
+    at, fs = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, such as a mark that something is complete."""
+    at, fs = _fs(spark, path)
+    fs.create(at, True).close()
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     root = os.path.join(shared_dir(spark), f"siftline-{uuid.uuid4().hex}")
@@ -78,8 +102,8 @@ def clean_work(spark: SparkSession) -> int:
     """Deletes what this process wrote to the shared folder; results that still read from it must be saved before."""
     count = len(_made)
     for root in _made:
-        path = spark._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        path, fs = _fs(spark, root)
+        fs.delete(path, True)
     _made.clear()
     return count
 
