@@ -1,11 +1,14 @@
 """Problem 2: at most `cap` rows per contributor, kept by score, as an incremental state table.
 
-The state holds each contributor's kept rows; its cutoff is the worst kept row once `cap` are kept. A new
-batch is first filtered against the cutoffs; rows below fall out at once. What survives is cut to the
+The state holds each contributor's kept rows, and beside them its cutoff: the worst kept row once `cap` are kept. A
+new batch is first filtered against the stored cutoffs; rows below fall out at once. What survives is cut to the
 best `cap` per (contributor, salt), so that a contributor with a third of all rows is ranked in parts of
-bounded share, and then merged with the kept rows. Every row that falls out, on arrival or displaced
-later, is logged with the batch that pushed it out. State and log are versioned folders: a batch that
-fails half-way leaves the previous version as it was.
+bounded share, and then merged with the kept rows of the contributors that it touches; only these are written again. Every row that
+falls out, on arrival or displaced later, is logged with the batch that pushed it out.
+
+A batch is one version: a folder of rows by reason, a folder of cutoffs, and a mark once both are complete. A version
+without its mark does not count and is written again, so a batch that fails half-way, or a new process on the same path,
+goes on from the last complete version. Every `COMPACT` versions the state is written as a whole, which bounds what is read.
 """
 
 from __future__ import annotations
@@ -15,10 +18,11 @@ from pyspark.sql import functions as F
 
 from siftline.functions.keys import bare_video_id, name_key
 from siftline.llm.scores import valid_scores
-from siftline.session import work_path
+from siftline.session import list_names, path_exists, touch, work_path
 
-STATE = "contributor string, row_id bigint, score double"
-LOG = STATE + ", batch int, reason string"
+COMPACT = 16
+ROWS = "contributor string, row_id bigint, score double, batch int, v int, reason string"
+CUTS = "contributor string, n bigint, cut struct<none:boolean,neg:double,row_id:bigint>, v int"
 
 
 def best() -> list[Column]:
@@ -26,6 +30,11 @@ def best() -> list[Column]:
     return [F.desc_nulls_last("score"), F.asc("row_id")]
 
 
+def place() -> Column:
+    """The same order as a value: the smaller, the better."""
+    return F.struct(F.col("score").isNull().alias("none"), F.coalesce(-F.col("score"), F.lit(0.0)).alias("neg"), F.col("row_id").alias("row_id"))
+
+
 def cap_for_share(total_rows: int, share: float) -> int:
     """The count that a maximum share of a table of `total_rows` rows stands for (at least 1)."""
     return max(1, int(total_rows * share))
@@ -36,7 +45,8 @@ class CapState:
 
     Rows have contributor, row_id (unique) and score. A missing contributor is not limited and not stored;
     a null score ranks last; ties go to the smaller row_id; a row that arrives again in the same batch
-    counts once. Batches must not repeat earlier rows. An empty batch changes nothing.
+    counts once. Batches must not repeat earlier rows. An empty batch changes nothing. A state on a path that
+    holds one goes on from its last complete version; another cap than the stored one raises ValueError.
     """
 
     def __init__(self, spark: SparkSession, cap: int, salts: int = 16, path: str | None = None):
@@ -44,49 +54,74 @@ class CapState:
             raise ValueError("cap must be at least 1")
         self.spark, self.cap, self.salts = spark, cap, salts
         self.path = path or work_path(spark, "caps")
-        self.version = 0
+        stored = [int(n.removeprefix("cap=")) for n in list_names(spark, self.path) if n.startswith("cap=")]
+        if stored and stored != [cap]:
+            raise ValueError(f"{self.path} holds a state for cap {stored[0]}, not {cap}")
+        if not stored:
+            touch(spark, f"{self.path}/cap={cap}")
+        self.version = max((int(n) for n in list_names(spark, f"{self.path}/done")), default=0)
+
+    def _base(self) -> int:
+        """The last version that was written as a whole; 0 for none."""
+        whole = [int(n) for n in list_names(self.spark, f"{self.path}/whole") if int(n) <= self.version and path_exists(self.spark, f"{self.path}/whole/{n}/cuts/_SUCCESS")]
+        return max(whole, default=0)
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        """Rows of the last whole version and of all versions after it."""
+        base = self._base()
+        paths = [f"{self.path}/{name}/v={v}" for v in range(base + 1, self.version + 1)]
+        out = self.spark.read.schema(schema).option("basePath", f"{self.path}/{name}").parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return out.unionByName(self.spark.read.schema(schema).parquet(f"{self.path}/whole/{base}/{name}")) if base else out
+
+    def cutoffs(self) -> DataFrame:
+        """(contributor, n, cut, v): number of kept rows, place of the worst, and the version that holds them."""
+        last = self._read("cuts", CUTS).groupBy("contributor").agg(F.max(F.struct("v", "n", "cut")).alias("x"))
+        return last.select("contributor", "x.n", "x.cut", "x.v")
+
+    def _kept(self, of: DataFrame) -> DataFrame:
+        """Kept rows of the contributors in `of` (contributor, v)."""
+        return self._read("rows", ROWS).where("reason = 'kept'").join(of.select("contributor", "v"), ["contributor", "v"], "left_semi").select("contributor", "row_id", "score")
 
     def kept(self) -> DataFrame:
-        if not self.version:
-            return self.spark.createDataFrame([], STATE)
-        return self.spark.read.schema(STATE).parquet(f"{self.path}/state/{self.version}")
+        return self._kept(self.cutoffs())
 
     def log(self) -> DataFrame:
-        """All rows that fell out so far."""
+        """All rows that fell out so far: contributor, row_id, score, batch, reason."""
         if not self.version:
-            return self.spark.createDataFrame([], LOG)
-        return self.spark.read.schema(LOG).option("recursiveFileLookup", "true").parquet(f"{self.path}/log")
-
-    def cutoffs(self) -> DataFrame:
-        """(contributor, cut_score, cut_row): the worst kept row of contributors that are full."""
-        worst = F.max(F.struct(F.col("score").isNull().alias("none"), (-F.col("score")).alias("neg"), "row_id"))
-        full = self.kept().groupBy("contributor").agg(F.count("*").alias("n"), worst.alias("w")).where(F.col("n") >= self.cap)
-        return full.select("contributor", (-F.col("w.neg")).alias("cut_score"), F.col("w.row_id").alias("cut_row"))
+            return self.spark.createDataFrame([], "contributor string, row_id bigint, score double, batch int, reason string")
+        paths = [f"{self.path}/rows/v={v}" for v in range(1, self.version + 1)]
+        return self.spark.read.schema(ROWS).option("basePath", f"{self.path}/rows").parquet(*paths).where("reason <> 'kept'").select("contributor", "row_id", "score", "batch", "reason")
 
     def ingest(self, rows: DataFrame, batch: int) -> None:
         new = rows.where("contributor is not null and row_id is not null").select("contributor", F.col("row_id").cast("bigint"), F.col("score").cast("double")).dropDuplicates(["row_id"])
-        keep, step = self.kept(), self.version + 1
+        v = self.version + 1
+        cuts = self.cutoffs()
+        met = new.join(cuts, "contributor", "left")
+        below = F.coalesce((F.col("n") >= self.cap) & (place() > F.col("cut")), F.lit(False))
+        out = met.where(below).select("contributor", "row_id", "score", F.lit("below cutoff").alias("reason"))
+        # Rows below the cutoff are neither ranked nor merged; the others are ranked in parts first.
+        part = Window.partitionBy("contributor", F.pmod(F.xxhash64("row_id"), F.lit(self.salts))).orderBy(*best())
+        ranked = met.where(~below).select("contributor", "row_id", "score", "v", F.row_number().over(part).alias("r"))
+        touched = ranked.where(F.col("v").isNotNull()).select("contributor", "v").distinct()
+        merged = ranked.where(F.col("r") <= self.cap).select("contributor", "row_id", "score")
         if self.version:
-            joined = new.join(self.cutoffs(), "contributor", "left")
-            better = (F.col("cut_row").isNull()) | (F.coalesce("score", F.lit(-1.0)) > F.coalesce("cut_score", F.lit(-1.0))) | ((F.coalesce("score", F.lit(-1.0)) == F.coalesce("cut_score", F.lit(-1.0))) & (F.col("row_id") < F.col("cut_row")))
-            new = joined.select("contributor", "row_id", "score", F.when(better, F.lit("displaced")).otherwise("below cutoff").alias("reason"))
-        else:
-            new = new.withColumn("reason", F.lit("displaced"))
-        below = F.col("reason") == "below cutoff"
-        salt = F.when(below, F.lit(-1)).otherwise(F.pmod(F.xxhash64("row_id"), F.lit(self.salts)).cast("int"))
-        # Rows below the cutoff are neither ranked nor merged; they get rank 0 and go to the log.
-        part = Window.partitionBy("contributor", "salt").orderBy(*best())
-        first = new.where(~below).withColumn("salt", salt).withColumn("n", F.row_number().over(part)).drop("salt")
-        merged = first.where(F.col("n") <= self.cap).select("contributor", "row_id", "score").union(keep)
-        final = merged.withColumn("n", F.row_number().over(Window.partitionBy("contributor").orderBy(*best())))
-        out = final.union(first.where(F.col("n") > self.cap).select("contributor", "row_id", "score", "n")).select("contributor", "row_id", "score", F.when(F.col("n") <= self.cap, F.lit("kept")).otherwise("displaced").alias("reason"))
-        out = out.union(new.where(below))
-        whole = f"{self.path}/step/{step}"
-        out.write.partitionBy("reason").parquet(whole)
-        got = self.spark.read.schema(STATE + ", reason string").parquet(whole)
-        got.where("reason = 'kept'").drop("reason").write.parquet(f"{self.path}/state/{step}")
-        got.where("reason <> 'kept'").select("contributor", "row_id", "score", F.lit(batch).cast("int").alias("batch"), "reason").write.parquet(f"{self.path}/log/{step}")
-        self.version = step
+            merged = merged.union(self._kept(touched))
+        final = merged.withColumn("r", F.row_number().over(Window.partitionBy("contributor").orderBy(*best())))
+        both = final.union(ranked.where(F.col("r") > self.cap).select("contributor", "row_id", "score", "r"))
+        out = out.union(both.select("contributor", "row_id", "score", F.when(F.col("r") <= self.cap, F.lit("kept")).otherwise("displaced")))
+        path = f"{self.path}/rows/v={v}"
+        out.withColumn("batch", F.lit(batch).cast("int")).write.mode("overwrite").partitionBy("reason").parquet(path)
+        kept = self.spark.read.schema(ROWS).option("basePath", f"{self.path}/rows").parquet(path).where("reason = 'kept'")
+        kept.groupBy("contributor").agg(F.count("*").alias("n"), F.max(place()).alias("cut")).write.mode("overwrite").parquet(f"{self.path}/cuts/v={v}")
+        touch(self.spark, f"{self.path}/done/{v}")
+        self.version = v
+        if v - self._base() >= COMPACT:
+            self._compact()
+
+    def _compact(self) -> None:
+        whole, cuts = f"{self.path}/whole/{self.version}", self.cutoffs()
+        self._kept(cuts).select("contributor", "row_id", "score", F.lit(0).alias("batch"), F.lit(self.version).alias("v"), F.lit("kept").alias("reason")).write.mode("overwrite").parquet(f"{whole}/rows")
+        cuts.select("contributor", "n", "cut", F.lit(self.version).alias("v")).write.mode("overwrite").parquet(f"{whole}/cuts")
 
 
 def capped_channels(candidates: DataFrame, scored: DataFrame, cap: int = 25) -> CapState:
@@ -95,7 +130,7 @@ def capped_channels(candidates: DataFrame, scored: DataFrame, cap: int = 25) ->
     c = candidates.select(F.col("row_id").cast("bigint").alias("row_id"), name_key("channel").alias("contributor"), bare_video_id("video_id").alias("video"), F.coalesce(F.col("batch_no").cast("int"), F.lit(2**31 - 1)).alias("batch"))
     rows = c.where("contributor is not null").join(valid_scores(scored), "video", "left").select("batch", "contributor", "row_id", "score")
     path = work_path(spark, "arrivals")
-    rows.repartition("batch", F.pmod(F.xxhash64("row_id"), F.lit(8))).write.partitionBy("batch").parquet(path)
+    rows.hint("rebalance", "batch").write.partitionBy("batch").parquet(path)
     arrived = spark.read.schema("contributor string, row_id bigint, score double, batch int").parquet(path)
     state = CapState(spark, cap)
     for b in sorted(r.batch for r in arrived.select("batch").distinct().collect()):

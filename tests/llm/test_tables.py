@@ -229,3 +229,26 @@ def test_tokenizer_files_count_alike():
     want = mixing._encoder("/opt/tokenizers/byte_bpe_50k.json")(texts)
     assert mixing._encoder(mixing.TOKENIZER)(texts) == want and want[1] == 0
     assert mixing._encoder(mixing.TOKENIZER)([" " * 1_000_000 + "x"])[0] > 1
+
+
+def test_caps_go_on_in_another_process(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(caps, "COMPACT", 2)
+    rng = random.Random(9)
+    rows = [(rng.choice("abc"), i, rng.choice([None, -0.5, 0.1, 0.5, 0.5, 0.9])) for i in range(90)]
+    path, schema = str(tmp_path / "state"), "contributor string, row_id bigint, score double"
+    for b in range(5):
+        caps.CapState(spark, 4, path=path).ingest(spark.createDataFrame(rows[b * 18 : b * 18 + 18], schema), b)
+    caps.CapState(spark, 4, path=path).ingest(spark.createDataFrame([], schema), 5)
+    state = caps.CapState(spark, 4, path=path)
+    # A version that was left half-way does not count.
+    spark.createDataFrame([("a", 999, 1.0, 9, "kept")], schema + ", batch int, reason string").write.partitionBy("reason").parquet(f"{path}/rows/v=7")
+    state = caps.CapState(spark, 4, path=path)
+    assert state.version == 6
+    want = {i for c in "abc" for _, i in sorted((9 if s is None else -s, i) for x, i, s in rows if x == c)[:4]}
+    assert {r.row_id for r in state.kept().collect()} == want
+    log = state.log().collect()
+    assert sorted(r.row_id for r in log) == sorted({i for _, i, _ in rows} - want) and {r.reason for r in log} == {"displaced", "below cutoff"}
+    state.ingest(spark.createDataFrame([("b", 500, 2.0), ("b", 500, 2.0)], schema), 6)
+    assert 500 in {r.row_id for r in caps.CapState(spark, 4, path=path).kept().collect()}
+    with pytest.raises(ValueError, match="cap"):
+        caps.CapState(spark, 5, path=path)
