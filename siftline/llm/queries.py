@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftline.llm import caps, cutoffs, langid, leaks, mixing, neardup, overlap, sentences, splits
-from siftline.llm.cells import CellIndex
+from siftline.llm.cells import CellIndex, check_batches
 from siftline.llm.oracle import SQL
 from siftline.session import materialise, table
 
@@ -39,10 +39,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = CellIndex(spark)
-    vectors = materialise(index.vectors(table(spark, sf_dir, "candidates")), "vectors")
-    index.append(vectors)
-    return index.probe(vectors)
+    return check_batches(table(spark, sf_dir, "candidates"), CellIndex(spark))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,11 +3,12 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from siftline.llm import golay, neardup, overlap, units
-from siftline.llm.cells import CellIndex
+from siftline.llm.cells import CellIndex, check_batches
 from siftline.llm.components import connected_components
 
 WORDS = [f"{a}{b}{c}" for a in ("ba", "ko", "lu", "mi", "ne", "ra") for b in ("do", "fi", "ga", "pe") for c in ("n", "r", "s", "t", "")]
@@ -110,17 +111,74 @@ def test_near_duplicates_against_brute_force(spark):
     assert got == want
 
 
+def dense(n):
+    """A group whose texts all differ a little, and some others."""
+    rng = random.Random(12)
+    base = [rng.choice(WORDS) + str(rng.randrange(400)) for _ in range(60)]
+    rows = [" ".join(base[:k % 3] + [f"one{k}"] + base[k % 3 + 1 :]) for k in range(n)]
+    return rows + [" ".join(rng.choice(WORDS) + str(rng.randrange(400)) for _ in range(50)) for _ in range(n)]
+
+
+def test_a_dense_group_costs_a_link_a_row(spark):
+    texts = dense(400)
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id bigint, text string")
+    reps = spark.createDataFrame(pd.concat(neardup._sketch(iter([pd.DataFrame({"id": range(len(texts)), "text": texts})]))))
+    assert neardup.candidate_pairs(reps, 0.6).count() < 400 * 400 / 8
+    got = neardup.near_duplicate_groups(df, "row_id", F.col("text")).collect()
+    assert sorted(r.id for r in got) == list(range(400)) and len({r.component for r in got}) == 1
+
+
+@pytest.mark.parametrize("change", [{"ROWS_PER_TASK": 40}, {"NEAR": -3, "SMALL": 64}, {"MAX_BROADCAST_IDS": 0, "NEAR": -3}])
+def test_tasks_by_codewords_and_refused_leaders(spark, monkeypatch, change):
+    for name, value in change.items():
+        monkeypatch.setattr(neardup, name, value)
+    rng = random.Random(13)
+    texts = dense(150)
+    for _ in range(150):  # chains that end well under the threshold
+        words = texts[rng.randrange(len(texts))].split()
+        for _ in range(rng.randint(5, 15)):
+            words[rng.randrange(len(words))] = f"{rng.choice(WORDS)}{rng.randrange(10**6)}z"
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id bigint, text string")
+    got = {r.id: r.component for r in neardup.near_duplicate_groups(df, "row_id", F.col("text")).collect()}
+    s = sets(texts)
+    want = groups_of([(x, y) for x in range(len(s)) for y in range(x) if alike(s[x], s[y])], range(len(s)))
+    assert {(i, j) for i in got for j in got if got[i] == got[j] and i < j} == {(i, j) for i in want for j in want if want[i] == want[j] and i < j}
+
+
+def test_unrelated_texts_seldom_meet():
+    """Of all pairs of texts over one vocabulary, those that meet are few, and fewer than those that share a codeword."""
+    for n in (1000, 4000):
+        rng = random.Random(14)
+        texts = [" ".join([*(f"c{rng.randrange(60)}" for _ in range(10)), *(f"w{rng.randrange(20000)}" for _ in range(40))]) for _ in range(n)]
+        sketch = next(neardup._sketch(iter([pd.DataFrame({"id": range(n), "text": texts})])))
+        routed = pd.concat(neardup._route(1, {})(iter([sketch])))
+        met = shared = 0
+        for _, part in routed.groupby("pid"):
+            key = part["key"].to_numpy()
+            codes = golay.keys((key & (1 << golay.BITS) - 1).astype(np.int32))
+            both = (key[:, None] >> golay.BITS << golay.INFO | codes)[codes >= 0]
+            met += int(sum(c * (c - 1) // 2 for c in np.unique(both, return_counts=True)[1]))
+            shared += int(sum(c * (c - 1) // 2 for c in np.unique(codes[codes >= 0], return_counts=True)[1]))
+        assert met < 0.01 * n * n / 2 and met < 0.05 * shared
+
+
+@pytest.mark.parametrize(("shared", "own"), [(48, 16), (62, 19), (52, 14)])  # similarity 0.60, 0.62 and 0.65
+def test_recall_at_the_threshold(spark, shared, own):
+    assert linked_at_the_threshold(spark, 1000, shared, own) >= 0.99
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "row_id bigint, title string, description string")
     assert neardup.near_duplicate_groups(df, "row_id", neardup.joined_text("title", "description")).count() == 0
 
 
-def linked_at_the_threshold(spark, n=1000):
-    """Share of n pairs of similarity 40 / 66 that are found."""
+def linked_at_the_threshold(spark, n=1000, common=40, own=13):
+    """Share of n pairs of similarity common / (common + 2 own) that are found."""
     rows = []
     for i in range(n):
-        shared = " ".join(f"s{i}w{k}" for k in range(40))
-        rows += [(2 * i + side, shared, " ".join(f"{'ab'[side]}{i}w{k}" for k in range(13))) for side in (0, 1)]
+        shared = " ".join(f"s{i}w{k}" for k in range(common))
+        rows += [(2 * i + side, shared, " ".join(f"{'ab'[side]}{i}w{k}" for k in range(own))) for side in (0, 1)]
     df = spark.createDataFrame(rows, "row_id bigint, title string, description string")
     got = neardup.group_pairs(neardup.near_duplicate_groups(df, "row_id", neardup.joined_text("title", "description"))).collect()
     assert all(r.row_id_a + 1 == r.row_id_b and r.row_id_a % 2 == 0 for r in got)
@@ -182,13 +240,27 @@ def test_history_in_bulk_and_batch_by_batch(spark):
     v = index.vectors(df)
     index.append(v)
     assert {(r.first_row_id, r.row_id) for r in index.probe(v).collect()} == want
-    steps, found = CellIndex(spark), set()
-    for b in range(4):
-        v = steps.vectors(df.where(F.col("batch_no") == b)).persist()
-        if b:
-            found |= {(r.first_row_id, r.row_id) for r in steps.probe(v).collect()}
-        steps.append(v)
-    assert found == want
+    assert {(r.first_row_id, r.row_id) for r in check_batches(df, CellIndex(spark, buckets=4)).collect()} == want
+    # One row at a time, so that only the buckets of its cells are read.
+    few = [r for r in rows if r[3] == 3][:6]
+    one = index.probe(index.vectors(spark.createDataFrame(few, schema)))
+    assert {(r.first_row_id, r.row_id) for r in one.collect()} == {p for p in want if p[1] in {r[0] for r in few}}
+
+
+def test_history_is_not_moved_and_failed_batches_do_not_count(spark):
+    rows = titles(11, 60)
+    df = spark.createDataFrame(rows, "row_id bigint, video_id string, title string, batch_no int")
+    index = CellIndex(spark, buckets=4)
+    want = {(r.first_row_id, r.row_id) for r in check_batches(df.where("batch_no < 2"), index).collect()}
+    v = index.vectors(df.where("batch_no = 2"))
+    index._file(index.vectors(df.where("batch_no = 1").withColumn("row_id", -F.col("row_id") - 1)))  # filed, but never completed
+    assert all(r.first_row_id >= 0 for r in index.probe(v).collect())
+    cells = spark.table(index._cells())
+    joined = cells.where("step = 2").select("cell").hint("shuffle_hash").join(cells.where("step = 1").select("cell", "axis"), "cell")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "ShuffledHashJoin" in plan
+    again = {(r.first_row_id, r.row_id) for r in index.check(v).collect()}
+    assert {(r.first_row_id, r.row_id) for r in index.found().collect()} == want | again
 
 
 def test_history_is_taken_up_by_another_index(spark, tmp_path):
