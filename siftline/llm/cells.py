@@ -199,8 +199,10 @@ class CellIndex:
         t = self.threshold
         n, m = F.size("units"), F.size("c_units")
         need = F.lit(t / (1 + t)) * (n + m) - F.lit(1e-9)
+        # Equality of axes and numbers is no key of the join: both sides lie in buckets of the cell alone and stay where they are.
+        same = (F.col("axis").bitwiseXOR(F.col("c_axis")) == 0) & (F.col("numbers").bitwiseXOR(F.col("c_numbers")) == 0)
         met = q.select("cell", "axis", "numbers", "pos", "batch_no", "set_key", "units").hint("shuffle_hash").join(c, "cell").where(
-            (F.col("axis") == F.col("c_axis")) & (F.col("numbers") == F.col("c_numbers")) & (F.col("c_batch") < F.col("batch_no"))
+            same & (F.col("c_batch") < F.col("batch_no"))
             & (n >= t * m - 1e-9) & (m >= t * n - 1e-9) & (F.least(n - F.col("pos"), m - F.col("c_pos")) >= need)
         )
         # A pair meets in every cell that both probe and file; it counts in the first axis of its overlap.

@@ -255,10 +255,13 @@ def test_history_is_not_moved_and_failed_batches_do_not_count(spark):
     v = index.vectors(df.where("batch_no = 2"))
     index._file(index.vectors(df.where("batch_no = 1").withColumn("row_id", -F.col("row_id") - 1)))  # filed, but never completed
     assert all(r.first_row_id >= 0 for r in index.probe(v).collect())
-    cells = spark.table(index._cells())
-    joined = cells.where("step = 2").select("cell").hint("shuffle_hash").join(cells.where("step = 1").select("cell", "axis"), "cell")
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "ShuffledHashJoin" in plan
+    step = index._file(v)
+    cells, videos = spark.table(index._cells()), spark.table(index._videos())
+    met = index._met(v.withColumn("row_id", F.explode(F.sequence(F.lit(1), F.lit(99)))), cells.where(F.col("step") == step), cells.where(F.col("step") < step), videos.where(F.col("step") == step), videos.where(F.col("step") < step))
+    plan = met._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = [i for i, line in enumerate(plan) if "siftline_cells" in line]
+    join = next(i for i, line in enumerate(plan) if "ShuffledHashJoin" in line)
+    assert len(at) == 2 and not any("Exchange" in line for line in plan[join : at[1]]) and all("Bucketed: true" in plan[i] for i in at)
     again = {(r.first_row_id, r.row_id) for r in index.check(v).collect()}
     assert {(r.first_row_id, r.row_id) for r in index.found().collect()} == want | again
 
