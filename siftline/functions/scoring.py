@@ -23,9 +23,9 @@ def confidence_band(score: Column | str, high_to: float = 0.2, mid_to: float = 0
 
 
 def contrast(keep: Column | str, drop: Column | str, tau: float = 0.08) -> Column:
-    """Logistic contrast of two similarities, clipped to [1e-6, 1 - 1e-6]."""
+    """Logistic contrast of two similarities, clipped to [1e-6, 1 - 1e-6]; null if either is."""
     x = (_col(keep) - _col(drop)) / F.lit(max(tau, 1e-6))
-    return F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), 1 / (1 + F.exp(-x))))
+    return F.when(x.isNotNull(), F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), 1 / (1 + F.exp(-x)))))
 
 
 def sample_indices(total: Column | str, n: int) -> Column:

@@ -46,13 +46,31 @@ def require_subset(part: DataFrame, whole: DataFrame, key: str) -> None:
         raise ValueError(f"{key} {bad[key]!r} is not in the frame")
 
 
-def gather(ids: Sequence, store: DataFrame, key: str) -> DataFrame:
-    """Store rows in the order of a list of ids, with pos and found; ids the store lacks have found = false."""
+def gather(ids: Sequence, store: DataFrame, key: str, strict: bool = False) -> DataFrame:
+    """Store rows in the order of a list of ids, with pos and found; ids the store lacks have found = false.
+
+    With strict, ids that the store lacks or holds more than once raise ValueError.
+    """
     spark = store.sparkSession
     want = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], f"pos int, {key} {dict(store.dtypes)[key]}")
+    if strict:
+        held = store.join(F.broadcast(want.select(key).distinct()), key).groupBy(key).count().collect()  # a row per id asked for
+        if len(held) != len(set(ids)) or any(r["count"] != 1 for r in held):
+            raise ValueError(f"{len(set(ids))} ids are asked for, {len(held)} are stored, {sum(r['count'] > 1 for r in held)} of them more than once")
     return want.join(store.withColumn("found", F.lit(True)), key, "left").withColumn("found", F.coalesce("found", F.lit(False))).orderBy("pos")
 
 
+def by_definition(df: DataFrame, definition: DataFrame, key: str, flag: str, yes: str = "1") -> tuple[DataFrame, DataFrame]:
+    """(kept, dropped): rows whose definition says yes, and all others, without the definition's columns.
+
+    Columns of the table that the definition has too are taken for leftovers of an earlier run and left out. definition has one row per key.
+    """
+    plain = df.drop(*[c for c in definition.columns if c != key and c in df.columns])
+    joined = plain.join(definition.select(key, F.trim(F.col(flag).cast("string")).alias("_flag")), key, "left")
+    good = F.coalesce(F.col("_flag") == yes, F.lit(False))
+    return joined.where(good).drop("_flag"), joined.where(~good).drop("_flag")
+
+
 def enrich(target: DataFrame, reference: DataFrame, key: str, column: str, rule: Column) -> DataFrame:
     """Adds column and label_source: the reference's value wins, then the rule's, else yt_only."""
     r = reference.select(key, present(column).alias("_ref"))

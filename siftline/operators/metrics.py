@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from siftline.functions.scoring import wilson_lower
 from siftline.operators.prefix import running_sums
+from siftline.session import materialise
 
 
 def ratio(a: Column, b: Column, empty: float | None = None) -> Column:
@@ -92,26 +93,63 @@ def action_metrics(df: DataFrame, drop_below: float, keep_from: float) -> DataFr
     )
 
 
+def direct_metrics(df: DataFrame, prediction: str, positive: Column | None = None) -> DataFrame:
+    """One row on predictions T and F as such; other predictions are not valid, rows without a label take no part.
+
+    n, valid, coverage, predicted_t and precision_t (0 where none), predicted_f and overturn_f (1 where none), accuracy (0 where none is valid).
+    """
+    good = (F.col("kind") != "F") if positive is None else positive
+    t, f = F.coalesce(F.col(prediction) == "T", F.lit(False)), F.coalesce(F.col(prediction) == "F", F.lit(False))
+    one = df.where("kind is not null").agg(
+        F.count("*").alias("n"), F.count(F.when(t | f, 1)).alias("valid"), F.count(F.when(t, 1)).alias("predicted_t"), F.count(F.when(t & good, 1)).alias("_tg"),
+        F.count(F.when(f, 1)).alias("predicted_f"), F.count(F.when(f & good, 1)).alias("_fg"),
+    )
+    right = F.col("_tg") + F.col("predicted_f") - F.col("_fg")
+    return one.select(
+        "n", "valid", ratio(F.col("valid"), F.col("n")).alias("coverage"), "predicted_t", ratio(F.col("_tg"), F.col("predicted_t"), 0.0).alias("precision_t"),
+        "predicted_f", ratio(F.col("_fg"), F.col("predicted_f"), 1.0).alias("overturn_f"), ratio(right, F.col("valid"), 0.0).alias("accuracy"),
+    )
+
+
+def projection(pool: DataFrame, seconds_per_row: float, workers: int, keep_hour_share: float) -> DataFrame:
+    """One row: rows and hours of a pool, hours that a step of so many seconds a row takes, and hours that stay."""
+    one = pool.agg(F.count("*").alias("rows"), (F.coalesce(F.sum("duration_seconds"), F.lit(0.0)) / 3600).alias("hours"))
+    return one.select("rows", "hours", (F.col("rows") * F.lit(seconds_per_row) / F.lit(max(workers, 1) * 3600.0)).alias("step_hours"), (F.col("hours") * F.lit(keep_hour_share)).alias("keep_hours"))
+
+
+def status_board(df: DataFrame, status: str, by: str | None = None) -> DataFrame:
+    """n_t, n_f, n_error, pending (blank) and done per group or in all; case and blanks are ignored."""
+    u = F.upper(F.trim(status))
+    blank = F.coalesce(u, F.lit("")) == ""
+    counts = [F.count(F.when(u == k, 1)).alias(n) for k, n in (("T", "n_t"), ("F", "n_f"), ("ERROR", "n_error"))]
+    return df.groupBy(*([by] if by else [])).agg(*counts, F.count(F.when(blank, 1)).alias("pending"), F.count(F.when(~blank, 1)).alias("done"))
+
+
 def top_share_metrics(df: DataFrame, percents: list[float], rounding: str = "half_even", key: str = "id") -> DataFrame:
-    """(percent, k, precision, recall) of the k best rows; k = n * percent / 100 rounded half to even, or cut off; 1 at least.
+    """(percent, k, precision, recall, hours, hours_share) of the k best rows; k = n * percent / 100 rounded half to even, or cut off; 1 at least.
 
     The k-th score is located on counts per distinct score; rows at that score are taken in the order of the
-    key, by a rank within the tie alone.
+    key, by running sums over the tied rows alone. Without duration_seconds hours are 0.
     """
-    d = df.where("kind is not null and score is not null").select(F.col(key).alias("key"), "score", (F.col("kind") != "F").cast("int").alias("y"))
-    n = d.agg(F.count("*").alias("n"), F.sum("y").alias("pos"))
+    h = F.coalesce(F.col("duration_seconds").cast("double"), F.lit(0.0)) if "duration_seconds" in df.columns else F.lit(0.0)
+    d = df.where("kind is not null and score is not null").select(F.col(key).alias("key"), "score", (F.col("kind") != "F").cast("int").alias("y"), h.alias("h"))
+    n = d.agg(F.count("*").alias("n"), F.sum("y").alias("pos"), F.sum("h").alias("all_h"))
     t = df.sparkSession.createDataFrame([(float(p),) for p in percents], "percent double")
     raw = F.col("n") * F.col("percent") / 100
     k = F.bround(raw, 0) if rounding == "half_even" else F.floor(raw)
     want = F.broadcast(n).crossJoin(F.broadcast(t)).withColumn("k", F.greatest(F.lit(1), k.cast("bigint")))
-    g = d.groupBy("score").agg(F.count("*").alias("m"), F.sum("y").alias("ys"))
-    g = running_sums(g, [F.desc("score")], {"upto": "m", "good": "ys"})
+    g = d.groupBy("score").agg(F.count("*").alias("m"), F.sum("y").alias("ys"), F.sum("h").alias("hs"))
+    g = running_sums(g, [F.desc("score")], {"upto": "m", "good": "ys", "seconds": "hs"})
     hit = g.crossJoin(F.broadcast(want)).where((F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("m") < F.col("k")))
     hit = hit.withColumn("nth", F.col("k") - (F.col("upto") - F.col("m"))).withColumn("above", F.col("good") - F.col("ys"))
-    ties = d.join(F.broadcast(hit.select("percent", "score", "nth")), "score").withColumn("r", F.row_number().over(Window.partitionBy("percent", "score").orderBy("key")))
-    part = ties.where("r <= nth").groupBy("percent").agg(F.sum("y").alias("tie_good"))
-    out = hit.join(part, "percent").withColumn("got", F.col("above") + F.col("tie_good"))
-    return out.select("percent", "k", ratio(F.col("got"), F.col("k")).alias("precision"), ratio(F.col("got"), F.col("pos")).alias("recall"))
+    hit = materialise(hit, "hits")  # a row per percent
+    ties = d.join(F.broadcast(hit.select("percent", "score", "nth")), "score").withColumn("one", F.lit(1))
+    ties = running_sums(ties, [F.col("percent"), F.col("key")], {"r": "one"})
+    start = ties.groupBy("percent").agg((F.min("r") - 1).alias("start"))
+    part = ties.join(F.broadcast(start), "percent").where("r - start <= nth").groupBy("percent").agg(F.sum("y").alias("tie_good"), F.sum("h").alias("tie_h"))
+    out = hit.join(part, "percent").withColumn("got", F.col("above") + F.col("tie_good")).withColumn("hours", (F.col("seconds") - F.col("hs") + F.col("tie_h")) / 3600)
+    share = F.when(F.col("all_h") > 0, F.col("hours") * 3600 / F.col("all_h")).otherwise(0.0)
+    return out.select("percent", "k", ratio(F.col("got"), F.col("k")).alias("precision"), ratio(F.col("got"), F.col("pos")).alias("recall"), "hours", share.alias("hours_share"))
 
 
 def source_weights(df: DataFrame, source: str) -> DataFrame:

@@ -120,6 +120,18 @@ def route(df: DataFrame, noise: Mapping[str, str], industries: Mapping[str, str]
     return out.withColumn("stage", F.when(F.col("drop_category").isNotNull(), "l1_drop").when(F.size("industries") > 0, "candidate").otherwise("unrouted"))
 
 
+def rescued(field: str, keep: Sequence[str], rescue: Sequence[str], block: Sequence[str]) -> Column:
+    """Whether a text holds a keep pattern and a rescue pattern and no blocking one, so that no threshold may drop it."""
+    low = F.lower(filled(field))
+    return low.rlike(alternation(keep)) & low.rlike(alternation(rescue)) & ~low.rlike(alternation(block))
+
+
+def classify(text: Column, classes: Mapping[str, str], source: str = "title_rule") -> tuple[Column, Column]:
+    """(class, source): the first class whose pattern the lower-cased text holds, and where it came from; null and empty if none."""
+    out = first_match([(name, F.lower(filled(text)).rlike(p)) for name, p in classes.items()], "")
+    return F.nullif(out, F.lit("")), F.when(out != "", source).otherwise("")
+
+
 def first_match(cases: Sequence[tuple[str, Column]], default: str) -> Column:
     """The name of the first condition that holds."""
     out = None

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftline.functions.keys import group_id
 from siftline.operators.prefix import quantiles
 
 
@@ -49,11 +50,14 @@ def quantile_bands(df: DataFrame, value: str, cuts: Sequence[float], names: Sequ
     return df.crossJoin(F.broadcast(q)).withColumn("band", F.when(F.col(value).isNotNull(), case.otherwise(names[-1]))).drop("q")  # one row
 
 
-def spread_sample(df: DataFrame, n: int, seed: int | str, key: str, spread: str, value: str, strata: int = 5) -> DataFrame:
+def spread_sample(df: DataFrame, n: int, seed: int | str, key: str, spread: str, value: str, strata: int = 5, exclude: DataFrame | None = None, on: str | None = None) -> DataFrame:
     """n rows with `spread` unique, drawn in turn from equal strata of `value`; adds sample_stratum.
 
-    Strata are cut at exact quantiles. Rows with a null spread or value take no part.
+    Strata are cut at exact quantiles. Rows with a null spread or value take no part, nor do rows whose `on` (by default
+    the key) is in the table `exclude`, such as rows that have a label.
     """
+    if exclude is not None:
+        df = df.join(exclude.select(on or key).distinct(), on or key, "left_anti")
     cuts = [i / strata for i in range(strata - 1, 0, -1)]
     d = quantile_bands(df.where(F.col(value).isNotNull() & F.col(spread).isNotNull()), value, cuts, [str(strata - i) for i in range(strata)])
     one = d.withColumn("_n", F.row_number().over(Window.partitionBy(spread).orderBy(lot(seed, key), key))).where("_n = 1")
@@ -75,11 +79,17 @@ def active_routes(df: DataFrame, score: str, action: str, sizes: Mapping[str, in
         diverse = hash_sample(kept, k, seed, key)
     else:
         pool = hash_sample(kept.where(F.col(vector).isNotNull()), 20 * max(k, 1), seed, key)
-        diverse = kept.join(F.broadcast(pool.select(key, vector).groupBy(F.lit(0).alias("one")).applyInPandas(_k_center(key, vector, k), f"{key} {dict(df.dtypes)[key]}")), key, "left_semi")  # at most 20 k rows
+        diverse = kept.join(F.broadcast(k_center(pool, key, vector, k)), key, "left_semi")  # of at most 20 k rows
     dropped = hash_sample(rest.where(F.col(action) == "drop"), sizes.get("drop_overturn", 0), seed, key)
     return boundary.unionByName(diverse.withColumn("route", F.lit("diverse_keep"))).unionByName(dropped.withColumn("route", F.lit("drop_overturn")))
 
 
+def k_center(pool: DataFrame, key: str, vector: str, k: int) -> DataFrame:
+    """(key): k rows far apart, each the farthest from those before, the smallest key first. The pool is one task: bound it before."""
+    kind = dict(pool.dtypes)[key]
+    return pool.where(F.col(vector).isNotNull()).select(key, vector).groupBy(F.lit(0).alias("one")).applyInPandas(_k_center(key, vector, k), f"{key} {kind}")
+
+
 def _k_center(key: str, vector: str, k: int):
     def pick(pool):
         import numpy as np
@@ -105,6 +115,27 @@ def fold(key: str, label: str, k: int, seed: int | str) -> Column:
     return ((F.row_number().over(Window.partitionBy(label, part).orderBy(lot(seed, key), key)) + part) % k).cast("int")
 
 
+def hold_out(df: DataFrame, key: str, label: str, share: float, seed: int | str) -> DataFrame:
+    """Adds held: true for a share of each class, by the seeded order, to within a row in each of 64 parts of a class."""
+    part = F.pmod(F.xxhash64(F.lit(str(seed)), F.col(key)), F.lit(64))
+    r = F.row_number().over(Window.partitionBy(label, part).orderBy(lot(seed, key), key)) + part / 64.0
+    return df.withColumn("held", F.floor(r * share) > F.floor((r - 1) * share))
+
+
+def labelled_split(df: DataFrame, groups: Sequence[Column | str], key: str, shares: Mapping[str, float], seed: int | str, conflicts: DataFrame | None = None) -> DataFrame:
+    """Adds label_group and split: whole groups go to one split, rows whose key is in `conflicts` to review.
+
+    The group is the first present of several columns; a row without any is a group of its own.
+    """
+    own = F.concat(F.lit("row "), F.col(key).cast("string"))
+    out = df.withColumn("label_group", F.coalesce(group_id(*groups), own))
+    split = group_split(F.col("label_group"), shares, seed)
+    if conflicts is None:
+        return out.withColumn("split", split)
+    bad = conflicts.select(key).distinct().withColumn("_bad", F.lit(True))
+    return out.join(bad, key, "left").withColumn("split", F.when(F.col("_bad"), "review").otherwise(split)).drop("_bad")
+
+
 def group_split(group: Column, shares: Mapping[str, float], seed: int | str) -> Column:
     """The split of a whole group, from a hash of it: rows of one group never part."""
     h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), group)), 1, 8), 16, 10).cast("bigint") / F.lit(float(1 << 32))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +32,15 @@ def normalise(df: DataFrame, key: str, tags: str, registry: DataFrame, unknown:
     return named.groupBy(key, "tag").agg(F.min(F.struct("pos", "raw")).alias("x")).select(key, "x.pos", "x.raw", "tag")
 
 
+def picture_tag(verdict: Column | str, evidence: Column | str, words: Mapping[str, str], other: str = "provisional:thumb_fail") -> Column:
+    """The tag of a rejected picture: the first word that its evidence holds names one, else `other`; null unless rejected."""
+    v, e = (F.col(c) if isinstance(c, str) else c for c in (verdict, evidence))
+    tag = F.lit(other)
+    for word, name in reversed(words.items()):
+        tag = F.when(F.lower(F.coalesce(e, F.lit(""))).contains(word), name).otherwise(tag)
+    return F.when(F.upper(F.trim(v)) == "F", tag)
+
+
 def propose(dropped: DataFrame, key: str, tag: Column, score: Column, modality: str, source: str) -> DataFrame:
     """Proposals from dropped rows: key, reject_tag, modality, propose_source, confidence_band."""
     return dropped.where(tag.isNotNull()).select(key, tag.alias("reject_tag"), F.lit(modality).alias("modality"), F.lit(source).alias("propose_source"), confidence_band(score).alias("confidence_band"))

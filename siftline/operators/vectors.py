@@ -10,7 +10,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_LITERALS = 64  # prototypes that are written into an expression
@@ -97,11 +97,25 @@ def _top(ids: np.ndarray, bank: np.ndarray, groups: np.ndarray, k: int, per_grou
     return top
 
 
+def _block_top(k: int, per_group: bool, skip_self: bool):
+    def top(query: pd.DataFrame, bank: pd.DataFrame) -> pd.DataFrame:
+        columns = ["id", "rank", "match_id", "match_group", "similarity"]
+        if not len(query) or not len(bank):
+            return pd.DataFrame({c: [] for c in columns})
+        bank = bank.sort_values("bank_id")
+        x = np.stack(bank["bank_vector"].to_numpy()).astype(np.float64)
+        got = list(_top(bank["bank_id"].to_numpy(), x, bank["bank_group"].to_numpy(), k, per_group, skip_self)(iter([query])))
+        return pd.concat(got)[columns] if got else pd.DataFrame({c: [] for c in columns})
+
+    return top
+
+
 def nearest(df: DataFrame, bank: DataFrame, k: int = 1, per_group: bool = False, skip_self: bool = False, block: int = 20_000) -> DataFrame:
     """(id, rank, match_id, match_group, similarity): each row's k nearest bank rows, in all or per bank group.
 
-    df has id and vector, bank has id, vector and group. The bank goes to the executors in blocks of at most `block`
-    rows; blocks are merged by a top-k per row, so that neither side need fit in one task. Null vectors match nothing.
+    df has id and vector, bank has id, vector and group. A bank of at most `block` rows is broadcast. A larger one is cut
+    into blocks of that size by hash, and so are the rows: each pair of blocks is a task, and a row's best matches of all blocks are
+    merged, so that neither side passes the driver or need fit in one task. Null vectors match nothing.
     Ties go to the smaller bank id. An empty bank gives an empty result.
     """
     spark = df.sparkSession
@@ -111,23 +125,33 @@ def nearest(df: DataFrame, bank: DataFrame, k: int = 1, per_group: bool = False,
     if not count:
         return spark.createDataFrame([], schema)
     query = df.where("vector is not null").select(F.col("id").cast("bigint").alias("id"), "vector")
-    blocks = -(-count // block)
-    parts = rows.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    found = None
-    for i in range(blocks):
-        got = parts.where(F.col("b") == i).toPandas().sort_values("id")
-        if not len(got):
-            continue
-        one = query.mapInPandas(_top(got["id"].to_numpy(), np.stack(got["vector"].to_numpy()).astype(np.float64), got["group"].to_numpy(), k, per_group, skip_self), schema)
-        found = one if found is None else found.union(one)
-    if blocks == 1:
-        return found
-    from pyspark.sql import Window
-
+    if count <= block:
+        got = rows.toPandas().sort_values("id")
+        return query.mapInPandas(_top(got["id"].to_numpy(), np.stack(got["vector"].to_numpy()).astype(np.float64), got["group"].to_numpy(), k, per_group, skip_self), schema)
+    blocks, chunks = -(-count // block), max(1, -(-query.count() // block))
+    q = query.withColumn("c", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    r = rows.select(F.col("id").alias("bank_id"), F.col("vector").alias("bank_vector"), F.col("group").alias("bank_group"))
+    r = r.withColumn("b", F.pmod(F.xxhash64("bank_id"), F.lit(blocks)).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    found = q.groupBy("c", "b").cogroup(r.select(F.col("c").alias("bank_c"), F.col("b").alias("bank_b"), "bank_id", "bank_vector", "bank_group").groupBy("bank_c", "bank_b")).applyInPandas(_block_top(k, per_group, skip_self), schema)
     w = Window.partitionBy(*(["id", "match_group"] if per_group else ["id"])).orderBy(F.desc(F.round("similarity", 12)), "match_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def prototype_scores(df: DataFrame, key: str, vector: str, keep: Column, drop: Column, most: int = 20, tau: float = 0.08) -> DataFrame:
+    """(key, sim_keep, sim_drop, score): rows scored by their nearest picks, up to `most` rows that satisfy `keep` and as many `drop`.
+
+    Picks are taken by key; a row that satisfies both is a keep. ValueError if a side has none. Null vectors have null scores.
+    """
+    from siftline.functions.scoring import contrast
+
+    have = df.where(F.col(vector).isNotNull())
+    sides = [[r[0] for r in have.where(rule).orderBy(key).limit(most).select(vector).collect()] for rule in (keep, drop & ~keep)]  # `most` rows
+    if not all(sides):
+        raise ValueError("each side needs a pick")
+    sims = df.select(key, max_similarity(F.col(vector), sides[0]).alias("sim_keep"), max_similarity(F.col(vector), sides[1]).alias("sim_drop"))
+    return sims.withColumn("score", contrast("sim_keep", "sim_drop", tau))
+
+
 def loo_contrast(nearest_per_group: DataFrame, keep: str, drop: str, tau: float = 0.08) -> DataFrame:
     """(id, sim_keep, sim_drop, score) from the best match per group, own row left out by `nearest(skip_self=True)`."""
     from siftline.functions.scoring import contrast

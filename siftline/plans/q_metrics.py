@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftline.functions import scoring
+from siftline.functions.keys import bare_video_id, group_id
+from siftline.functions.labels import kind
 from siftline.operators import metrics, models, sampling, tags, thresholds
 from siftline.plans.catalogue import query
-from siftline.plans.views import SQL_QC, qc
+from siftline.plans.views import KIND, SQL_QC, qc, sql_present, sql_video
 from siftline.session import table
 
 Z90 = 1.6448536269514722
@@ -36,7 +38,7 @@ def _sweep_sql(first: int, last: int, by: str = "") -> str:
     return f"sweep as (select *, {RATES} from (select {b}threshold, {_rates()} from judged, (select round(i * 0.01, 2)::double as threshold from range({first}, {last + 1}) as r(i)) group by {b}threshold))"
 
 
-@query("q21_channel_target_encoding", f"with {SQL_QC} select source, round(avg((kind <> 'F')::int), 6) as mean, count(*) as n from judged where source is not null group by source having count(*) >= 5")
+@query("q21_source_target_encoding", f"with {SQL_QC} select source, round(avg((kind <> 'F')::int), 6) as mean, count(*) as n from judged where source is not null group by source having count(*) >= 5")
 def target_encoding(spark: SparkSession, d: str) -> DataFrame:
     return _r(metrics.group_means(_judged(spark, d), "source", (F.col("kind") != "F").cast("int"), 5), "mean")
 
@@ -108,18 +110,23 @@ def precision_at_recall(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _top_sql(k: str) -> str:
-    return f"""with {SQL_QC}, t(percent) as (values (1.0), (5.0), (12.5), (40.0)), r as (select (kind <> 'F')::int as y, row_number() over (order by score desc, id) as rn, count(*) over () as n from judged),
-q as (select percent, y, rn, greatest(1, {k}) as k from r, t) select percent::double as percent, any_value(k)::bigint as k, round(sum(y) filter (rn <= k) / any_value(k), 6) as precision, round(sum(y) filter (rn <= k) / sum(y), 6) as recall from q group by percent"""
+    return f"""with {SQL_QC}, t(percent) as (values (1.0), (5.0), (12.5), (40.0)), r as (select (kind <> 'F')::int as y, coalesce(duration_seconds, 0) as h, row_number() over (order by score desc, id) as rn, count(*) over () as n from judged),
+q as (select percent, y, h, rn, greatest(1, {k}) as k from r, t) select percent::double as percent, any_value(k)::bigint as k, round(sum(y) filter (rn <= k) / any_value(k), 6) as precision, round(sum(y) filter (rn <= k) / sum(y), 6) as recall,
+  round(sum(h) filter (rn <= k) / 3600, 4) as hours, round(sum(h) filter (rn <= k) / sum(h), 6) as hours_share from q group by percent"""
+
+
+def _top(df: DataFrame) -> DataFrame:
+    return _r(df, "precision", "recall", "hours_share").withColumn("hours", F.round("hours", 4))
 
 
 @query("q31_top_pct_metrics", _top_sql("round_even(n * percent / 100, 0)::bigint"))
 def top_pct_metrics(spark: SparkSession, d: str) -> DataFrame:
-    return _r(metrics.top_share_metrics(_judged(spark, d), [1, 5, 12.5, 40]), "precision", "recall")
+    return _top(metrics.top_share_metrics(_judged(spark, d), [1, 5, 12.5, 40]))
 
 
 @query("q32_precision_at_topk", _top_sql("floor(n * percent / 100)::bigint"))
 def precision_at_topk(spark: SparkSession, d: str) -> DataFrame:
-    return _r(metrics.top_share_metrics(_judged(spark, d), [1, 5, 12.5, 40], "floor"), "precision", "recall")
+    return _top(metrics.top_share_metrics(_judged(spark, d), [1, 5, 12.5, 40], "floor"))
 
 
 @query("q33_quantile_bands", f"with {SQL_QC}, q as (select quantile_cont(score, 0.9) as a, quantile_cont(score, 0.8) as b, quantile_cont(score, 0.2) as c from judged) select id, case when score >= a then 'top' when score >= b then 'high' when score >= c then 'mid' else 'low' end as band from judged, q")
@@ -139,6 +146,25 @@ def score_actions(spark: SparkSession, d: str) -> DataFrame:
     return s.select("video_id", "ml_score", scoring.action("ml_score", 0.15, 0.85).alias("action"), scoring.confidence_band("ml_score").alias("band"))
 
 
+@query("q34c_direct_metrics", f"""with {SQL_QC}, p as (select kind, case when score >= 0.6 then 'T' when score < 0.3 then 'F' when score is not null then 'U' end as p from qc where kind is not null),
+a as (select count(*) as n, count(*) filter (p in ('T', 'F')) as valid, count(*) filter (p = 'T') as t, count(*) filter (p = 'T' and kind <> 'F') as tg, count(*) filter (p = 'F') as f, count(*) filter (p = 'F' and kind <> 'F') as fg from p)
+select n, valid, round(valid / greatest(n, 1), 6) as coverage, t as predicted_t, round(case when t = 0 then 0 else tg / t end, 6) as precision_t, f as predicted_f, round(case when f = 0 then 1 else fg / f end, 6) as overturn_f, round(case when valid = 0 then 0 else (tg + f - fg) / valid end, 6) as accuracy from a""")
+def direct_metrics(spark: SparkSession, d: str) -> DataFrame:
+    p = qc(spark, d).withColumn("p", F.when(F.col("score") >= 0.6, "T").when(F.col("score") < 0.3, "F").when(F.col("score").isNotNull(), "U"))
+    return _r(metrics.direct_metrics(p, "p"), "coverage", "precision_t", "overturn_f", "accuracy")
+
+
+@query("q34d_projection", f"with {SQL_QC} select count(*) as rows, round(coalesce(sum(duration_seconds), 0) / 3600, 4) as hours, round(count(*) * 1.5 / 3 / 3600, 6) as step_hours, round(coalesce(sum(duration_seconds), 0) / 3600 * 0.4, 4) as keep_hours from qc")
+def projection(spark: SparkSession, d: str) -> DataFrame:
+    p = metrics.projection(qc(spark, d), 1.5, 3, 0.4)
+    return p.select("rows", F.round("hours", 4).alias("hours"), F.round("step_hours", 6).alias("step_hours"), F.round("keep_hours", 4).alias("keep_hours"))
+
+
+@query("q34e_gate_reasons", f"with {SQL_QC}, a as (select count(*) filter (score < 0.3) as nd, count(*) filter (score < 0.3 and kind = 'F') as fc, count(*) filter (score < 0.3 and kind = 'T') as th, count(*) filter (score < 0.3 and kind = 'U') as uh, count(*) filter (kind = 'U') as nu from judged) select nd as n_drop, concat_ws(',', case when fc / greatest(nd, 1) < 0.95 then 'precision' end, case when th > 0 then 't_hurt' end, case when uh / greatest(nu, 1) > 0.01 then 'u_rate' end, case when nd = 0 then 'no_drop' end) as reasons from a")
+def gate_reasons(spark: SparkSession, d: str) -> DataFrame:
+    return models.gate_reasons(metrics.threshold_metrics(_judged(spark, d), 0.3)).select("n_drop", F.array_join("reasons", ",").alias("reasons"))
+
+
 @query("q35_source_weights", f"with {SQL_QC} select source, count(*) as n, round(sum(count(*)) over () / (count(*) over () * count(*)), 6) as weight from qc where source is not null group by source")
 def source_weights(spark: SparkSession, d: str) -> DataFrame:
     return _r(metrics.source_weights(qc(spark, d).where("source is not null"), "source"), "weight")
@@ -172,15 +198,16 @@ def stratified_band_sample(spark: SparkSession, d: str) -> DataFrame:
     return sampling.sample_per_group(b, "band", 30, 42, "id").select("id", "band")
 
 
-@query("q49_blind_sample", """with c as (select row_id as id, channel, nullif(try_cast(duration_seconds as double), 'nan'::double) as s from candidates where channel is not null), f as (select * from c where s is not null),
+@query("q49_blind_sample", f"""with c as (select row_id as id, channel, nullif(try_cast(duration_seconds as double), 'nan'::double) as s from candidates where channel is not null and ({sql_video('video_id')} is null or {sql_video('video_id')} not in (select {sql_video('video_id')} from labels where {sql_video('video_id')} is not null))), f as (select * from c where s is not null),
 q as (select quantile_cont(s, 0.8) as a, quantile_cont(s, 0.6) as b, quantile_cont(s, 0.4) as c, quantile_cont(s, 0.2) as e from f), x as (select id, channel, case when s >= a then '5' when s >= b then '4' when s >= c then '3' when s >= e then '2' else '1' end as sample_stratum from f, q),
 o as (select *, row_number() over (partition by channel order by md5('7:' || id), id) as n from x), t as (select id, channel, sample_stratum, row_number() over (partition by sample_stratum order by md5('7:' || id), id) as n from o where n = 1)
 select id, channel, sample_stratum from t order by n, sample_stratum limit 60""")
 def blind_sample(spark: SparkSession, d: str) -> DataFrame:
     from siftline.functions.text import number
 
-    c = table(spark, d, "candidates").select(F.col("row_id").alias("id"), "channel", number("duration_seconds").alias("s"))
-    return sampling.spread_sample(c, 60, 7, "id", "channel", "s").select("id", "channel", "sample_stratum")
+    c = table(spark, d, "candidates").select(F.col("row_id").alias("id"), "channel", number("duration_seconds").alias("s"), bare_video_id("video_id").alias("video"))
+    labelled = table(spark, d, "labels").select(bare_video_id("video_id").alias("video"))
+    return sampling.spread_sample(c, 60, 7, "id", "channel", "s", exclude=labelled, on="video").select("id", "channel", "sample_stratum")
 
 
 @query("q50_active_learning_routes", f"""with {SQL_QC}, a as (select *, case when score < 0.3 then 'drop' when score >= 0.6 then 'keep_candidate' else 'uncertain' end as action from judged), b as (select id from a order by abs(score - 0.5), id limit 40), r as (select * from a where id not in (select id from b))
@@ -190,10 +217,23 @@ def active_learning_routes(spark: SparkSession, d: str) -> DataFrame:
     return sampling.active_routes(a, "score", "action", {"boundary": 40, "diverse_keep": 30, "drop_overturn": 20}, 42, "id").select("id", "route")
 
 
-@query("q51_grouped_split", "with g as (select distinct channel, ('0x' || substr(md5('9:' || channel), 1, 8))::bigint / 4294967296.0 as h from labels where channel is not null) select channel, case when h < 0.7 then 'train' when h < 0.85 then 'calibration' else 'holdout' end as split from g")
+@query("q50b_diverse_keep")
+def diverse_keep(spark: SparkSession, d: str) -> DataFrame:
+    """Review rows by route, the kept ones far apart by their vectors (k-center)."""
+    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    a = _judged(spark, d).withColumn("action", scoring.action("score", 0.3, 0.6)).join(e, "id")
+    return sampling.active_routes(a, "score", "action", {"boundary": 40, "diverse_keep": 30, "drop_overturn": 20}, 42, "id", "embedding").select("id", "route")
+
+
+@query("q51_grouped_split", f"""with l as (select label_id, {sql_video('video_id')} as video, {KIND} as kind, coalesce({sql_present('channel')}, {sql_present('source_ref')}, {sql_present('video_id')}, 'row ' || label_id) as label_group from labels),
+bad as (select video from l where kind in ('T', 'F') and video is not null group by video having count(distinct kind) > 1), h as (select *, ('0x' || substr(md5('9:' || label_group), 1, 8))::bigint / 4294967296.0 as h from l)
+select label_id, label_group, case when video in (select video from bad) then 'review' when h < 0.7 then 'train' when h < 0.85 then 'calibration' else 'holdout' end as split from h""")
 def grouped_split(spark: SparkSession, d: str) -> DataFrame:
-    g = table(spark, d, "labels").select("channel").where("channel is not null").distinct()
-    return g.select("channel", sampling.group_split(F.col("channel"), {"train": 70, "calibration": 15, "holdout": 15}, 9).alias("split"))
+    """Whole groups go to one split; rows of videos with contradicting verdicts go to review."""
+    lab = table(spark, d, "labels").withColumn("video", bare_video_id("video_id")).withColumn("kind", kind("qc_result"))
+    bad = lab.where("kind in ('T', 'F') and video is not null").groupBy("video").agg(F.countDistinct("kind").alias("k")).where("k > 1").join(lab.select("video", "label_id"), "video").select("label_id")
+    s = sampling.labelled_split(lab.drop("label_group", "split"), ["channel", "source_ref", "video_id"], "label_id", {"train": 70, "calibration": 15, "holdout": 15}, 9, bad)
+    return s.select("label_id", "label_group", "split")
 
 
 @query("q52_wilson_gate", f"""with {SQL_QC}, a as (select count(*) filter (kind in ('T', 'F') and score >= 0.2) as n, count(*) filter (kind = 'T' and score >= 0.2) as passed, coalesce(sum(duration_seconds) / 3600, 0) as hours, count(*) filter (kind in ('T', 'F') and score < 0.2) as n_drop, count(*) filter (kind = 'T' and score < 0.2) as overturned from judged),
@@ -203,18 +243,17 @@ def wilson_gate(spark: SparkSession, d: str) -> DataFrame:
     return _r(metrics.acceptance(_judged(spark, d), 0.6, 100, 0.7, 0.2), "hours", "lower", "overturn")
 
 
-@query("q53_lot_decide", f"with {SQL_QC}, v as (select case kind when 'T' then 'pass' when 'F' then 'fail' end as verdict from qc where id % 20 = 0) select count(*) filter (verdict is not null) as n, count(*) filter (verdict = 'pass') as passed, round(count(*) filter (verdict = 'pass') / greatest(count(*) filter (verdict is not null), 1), 6) as pass_rate, case when count(*) filter (verdict is not null) > 0 and count(*) filter (verdict = 'pass') / greatest(count(*) filter (verdict is not null), 1) >= 0.85 then 'accept' else 'reject' end as decision from v")
+@query("q53_lot_decide", f"with {SQL_QC}, v as (select case kind when 'T' then 'pass' when 'F' then 'fail' end as verdict from qc join labels on label_id = id where split = 'holdout') select count(*) filter (verdict is not null) as n, count(*) filter (verdict = 'pass') as passed, round(count(*) filter (verdict = 'pass') / greatest(count(*) filter (verdict is not null), 1), 6) as pass_rate, case when count(*) filter (verdict is not null) > 0 and count(*) filter (verdict = 'pass') / greatest(count(*) filter (verdict is not null), 1) >= 0.85 then 'accept' else 'reject' end as decision from v")
 def lot_decide(spark: SparkSession, d: str) -> DataFrame:
-    lot = qc(spark, d)  # the judged members are a fixed twentieth of the lot: the feature of acceptance sampling
-    verdicts = lot.where(F.col("id") % 20 == 0).select("id", F.when(F.col("kind") == "T", "pass").when(F.col("kind") == "F", "fail").alias("verdict"))
+    lot = qc(spark, d)  # the members of one split are judged for the lot: the feature of acceptance sampling
+    judged = table(spark, d, "labels").where("split = 'holdout'").select(F.col("label_id").alias("id"))
+    verdicts = lot.join(judged, "id").select("id", F.when(F.col("kind") == "T", "pass").when(F.col("kind") == "F", "fail").alias("verdict"))
     return _r(metrics.lot_decision(lot, verdicts, 0.85, "id"), "pass_rate")
 
 
 @query("q54_qc_stats_board", "select source, count(*) filter (upper(trim(qc_result)) = 'T') as n_t, count(*) filter (upper(trim(qc_result)) = 'F') as n_f, count(*) filter (upper(trim(qc_result)) = 'ERROR') as n_error, count(*) filter (coalesce(trim(qc_result), '') = '') as pending, count(*) filter (coalesce(trim(qc_result), '') <> '') as done from labels group by source")
 def qc_stats_board(spark: SparkSession, d: str) -> DataFrame:
-    u = F.upper(F.trim("qc_result"))
-    blank = F.coalesce(u, F.lit("")) == ""
-    return table(spark, d, "labels").groupBy("source").agg(F.count(F.when(u == "T", 1)).alias("n_t"), F.count(F.when(u == "F", 1)).alias("n_f"), F.count(F.when(u == "ERROR", 1)).alias("n_error"), F.count(F.when(blank, 1)).alias("pending"), F.count(F.when(~blank, 1)).alias("done"))
+    return metrics.status_board(table(spark, d, "labels"), "qc_result", "source")
 
 
 TAG = "case when regexp_matches(lower(coalesce(title, '')), 'oven|stove') then 'kitchen' when regexp_matches(lower(coalesce(title, '')), 'lathe|saw|welding') then 'metal' when regexp_matches(lower(coalesce(title, '')), 'garden|hive') then 'garden' end"
@@ -267,17 +306,66 @@ def boundary_decision(spark: SparkSession, d: str) -> DataFrame:
     return tags.boundary(s, "batch_no", "hits")
 
 
+def _labelled_titles(spark: SparkSession, d: str) -> DataFrame:
+    return qc(spark, d).where("kind in ('T', 'F')").withColumn("y", (F.col("kind") != "F").cast("int"))
+
+
 @query("q63_lr_oof_scores")
 def lr_oof_scores(spark: SparkSession, d: str) -> DataFrame:
     """Out-of-fold scores of a balanced logistic regression on title terms."""
-    q = models.text_columns(qc(spark, d).where("kind in ('T', 'F')").withColumn("y", (F.col("kind") != "F").cast("int")), "title")
-    return models.out_of_fold(q, "id", "y", models.logistic_pipeline, 3)
+    return models.out_of_fold(models.text_columns(_labelled_titles(spark, d), "title"), "id", "y", models.logistic_pipeline, 3)
+
+
+@query("q63b_svm_oof_scores")
+def svm_oof_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Out-of-fold margins of a linear SVM on title terms, as calibrated probabilities."""
+    return models.calibrated_svm(models.text_columns(_labelled_titles(spark, d), "title"), "id", "y")
+
+
+@query("q63c_top_terms")
+def top_terms(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 terms that speak most for, and most against, a good verdict."""
+    train = models.balanced(models.text_columns(_labelled_titles(spark, d), "title"))
+    model = models.text_pipeline(models.logistic(train.agg(F.sum("weight")).first()[0]), vocabulary=20_000).fit(train)
+    return models.top_terms(model, spark)
+
+
+@query("q63d_hold_out", f"with {SQL_QC} select kind, count(*) as n, true as share_met from qc where kind is not null group by kind")
+def hold_out(spark: SparkSession, d: str) -> DataFrame:
+    """Per class, whether a fifth is held out, to within a row in each of the 64 parts in which it is drawn."""
+    h = sampling.hold_out(qc(spark, d).where("kind is not null"), "id", "kind", 0.2, 42)
+    g = h.groupBy("kind").agg(F.count("*").alias("n"), F.sum(F.col("held").cast("int")).alias("held"))
+    return g.select("kind", "n", (F.abs(F.col("held") - 0.2 * F.col("n")) <= 64).alias("share_met"))
+
+
+GROUP = f"coalesce({sql_present('channel')}, {sql_present('source_ref')}, {sql_present('video_id')})"
+
+
+def _grouped(spark: SparkSession, d: str) -> DataFrame:
+    """Judged label rows with title, y and group: channel, else source_ref, else video, else the row itself."""
+    g = table(spark, d, "labels").select(F.col("label_id").alias("id"), F.coalesce(group_id("channel", "source_ref", "video_id"), F.concat(F.lit("row "), "label_id")).alias("g"))
+    return _labelled_titles(spark, d).join(g, "id")
 
 
 @query("q64_group_oof")
 def group_oof(spark: SparkSession, d: str) -> DataFrame:
-    """Group folds: rows, groups and share of positives per fold, and groups that lie in two folds (none)."""
-    q = table(spark, d, "labels").where("channel is not null").withColumn("y", (F.upper(F.trim("qc_result")) != "F").cast("int")).where("y is not null")
-    f = models.group_folds(q, "channel", "y", 5)
-    parted = f.groupBy("channel").agg(F.countDistinct("fold").alias("k"), F.min("fold").alias("fold"), F.count("*").alias("n"), F.sum("y").alias("y"))
-    return parted.groupBy("fold").agg(F.sum("n").alias("rows"), F.count("*").alias("groups"), F.count(F.when(F.col("k") > 1, 1)).alias("split_groups"), F.round(F.sum("y") / F.sum("n"), 6).alias("positive"))
+    """Scores of every row by a model that has seen no row of its group."""
+    f = models.group_folds(models.text_columns(_grouped(spark, d), "title"), "g", "y", 5)
+    return models.out_of_fold(f.withColumnRenamed("fold", "_fold"), "id", "y", models.logistic_pipeline, 5, fold_col="_fold")
+
+
+@query("q64b_group_folds", f"with {SQL_QC} select count(*) as rows, count(distinct coalesce({GROUP}, 'row ' || label_id)) as groups, 0::bigint as split_groups, 5::bigint as folds from labels join qc on label_id = id where kind in ('T', 'F')")
+def group_folds(spark: SparkSession, d: str) -> DataFrame:
+    """Rows, groups, groups that lie in two folds, and folds."""
+    f = models.group_folds(_grouped(spark, d), "g", "y", 5)
+    g = f.groupBy("g").agg(F.countDistinct("fold").alias("k"), F.count("*").alias("n"))
+    folds = f.agg(F.countDistinct("fold").alias("folds"))
+    return g.agg(F.sum("n").alias("rows"), F.count("*").alias("groups"), F.count(F.when(F.col("k") > 1, 1)).alias("split_groups")).crossJoin(F.broadcast(folds))  # one row each
+
+
+@query("q64c_fusion_oof")
+def fusion_oof(spark: SparkSession, d: str) -> DataFrame:
+    """Out-of-fold scores, by group, of a logistic regression on word and character terms and filled, scaled numbers."""
+    q = models.text_columns(_grouped(spark, d), "title", (1, 2), (3, 5)).withColumn("length", F.length("title").cast("double"))
+    f = models.group_folds(q, "g", "y", 5).withColumnRenamed("fold", "_fold")
+    return models.out_of_fold(f, "id", "y", lambda train: models.fusion_pipeline(["score", "duration_seconds", "length"], models.logistic(train.agg(F.sum("weight")).first()[0])), 5, fold_col="_fold")

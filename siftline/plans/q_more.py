@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftline.functions import keys, labels
-from siftline.operators import encoders, models, nested
+from siftline.operators import encoders, joins, models, nested, rules
+from siftline.plans import stages
 from siftline.plans.catalogue import query
-from siftline.plans.views import qc, sql_present
+from siftline.plans.views import qc, sql_present, sql_video
 from siftline.session import table
 from siftline.sources.remote import PERMANENT, TRANSIENT
 
@@ -23,11 +26,13 @@ def pending_mask(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "labels").select("label_id", labels.pending("qc_result").alias("pending"), labels.pending("qc_result", True).alias("pending_with_errors"))
 
 
-@query("q73_filter_by_definition", "select l.label_id, l.title from labels l join (select label_id, (label_id % 7 < 3) as is_hd from labels where label_id % 5 <> 0) d using (label_id) where d.is_hd")
+@query("q73_filter_by_definition", f"with d as (select {sql_video('video_id')} as video, max(thumb_ok::int) = 1 as ok from scored group by 1) select label_id, l.title, coalesce(d.ok, false) as kept from labels l left join d on d.video = {sql_video('l.video_id')}")
 def filter_by_definition(spark: SparkSession, d: str) -> DataFrame:
-    lab = table(spark, d, "labels")
-    definition = lab.where(F.col("label_id") % 5 != 0).select("label_id", (F.col("label_id") % 7 < 3).alias("is_hd"))  # a reference table that lacks some rows
-    return lab.join(definition, "label_id", "left").where("is_hd").drop("is_hd").select("label_id", "title")
+    """Label rows of videos whose score table says that the picture is good, and the others; `title` of the definition is a leftover."""
+    lab = table(spark, d, "labels").select("label_id", "title", keys.bare_video_id("video_id").alias("video"), F.lit("old").alias("thumb_ok"))
+    s = table(spark, d, "scored").groupBy(keys.bare_video_id("video_id").alias("video")).agg(F.max(F.col("thumb_ok").cast("int")).alias("thumb_ok"))
+    kept, dropped = joins.by_definition(lab, s, "video", "thumb_ok")
+    return kept.withColumn("kept", F.lit(True)).union(dropped.withColumn("kept", F.lit(False))).select("label_id", "title", "kept")
 
 
 @query("q74_fill_blank", "select row_id, coalesce(nullif(trim(lang), ''), case when contains(lower(coalesce(title, '')), ' the ') then 'en' end) as lang, case when nullif(trim(lang), '') is null and contains(lower(coalesce(title, '')), ' the ') then 'title_rule' end as lang_source from candidates")
@@ -68,6 +73,49 @@ def hashed_text_embeddings(spark: SparkSession, d: str) -> DataFrame:
 
 @query("q78_boosted_trees_scores")
 def boosted_trees(spark: SparkSession, d: str) -> DataFrame:
-    """Boosted trees on score, duration and title length, scored on the rows they were trained on."""
+    """Boosted trees on score, duration and title length; each row is scored by a model that has not seen it."""
     q = qc(spark, d).where("kind in ('T', 'F')").select("id", (F.col("kind") != "F").cast("int").alias("y"), F.coalesce("score", F.lit(-1.0)).alias("s"), F.coalesce("duration_seconds", F.lit(0.0)).alias("dur"), F.length(F.coalesce("title", F.lit(""))).cast("double").alias("len"))
-    return models.probability(models.boosted(["s", "dur", "len"], trees=10).fit(q).transform(q)).select("id", "y", "score")
+    return models.out_of_fold(q, "id", "y", lambda train: models.boosted(["s", "dur", "len"], trees=10), 3)
+
+
+@query("q79_reduced_vectors")
+def reduced_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Embeddings on their eight principal components."""
+    return models.reduce(table(spark, d, "embeddings"), "vec_id", "embedding", 8, centred=True)
+
+
+@query("q79b_reduced_variance", """with f as (select vec_id, i, embedding[i]::double as x from embeddings, range(1, 65) as r(i)), m as (select i, avg(x) as c from f group by i) select count(distinct vec_id) as n, round(sum((x - c) ** 2), 3) as spread from f join m using (i)""")
+def reduced_variance(spark: SparkSession, d: str) -> DataFrame:
+    """All 64 principal components hold the whole spread of the vectors about their mean."""
+    r = models.reduce(table(spark, d, "embeddings"), "vec_id", "embedding", 64, centred=True)
+    return r.agg(F.count("*").alias("n"), F.round(F.sum(F.aggregate("reduced", F.lit(0.0), lambda a, x: a + x * x)), 3).alias("spread"))
+
+
+@query("q80_ingest_verdicts", """with l as (select label_id, case when lower(trim(qc_result)) in ('t', '合格', 'pass') then 'pass' when lower(trim(qc_result)) in ('f', '不合格', 'fail') then 'fail' end as human_label from labels)
+select 'labeled' as part, count(*) as n from l where human_label is not null union all select human_label, count(*) from l where human_label is not null group by 1 union all select 'train_export', count(*) from l where human_label is not null union all select 'reject_validated', count(*) from l where human_label = 'fail'""")
+def ingest_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each table of a round of human checks."""
+    parts = stages.ingest_verdicts(table(spark, d, "labels"), "qc_result", "label_id")
+    out = [df.agg(F.lit(name).alias("part"), F.count("*").alias("n")).select("part", "n") for name, df in parts.items()]
+    return functools.reduce(DataFrame.union, out)
+
+
+@query("q81_reflux_sample", "select row_id from candidates where contains(lower(coalesce(title, '')), 'official') order by md5('7:' || row_id), row_id limit 50")
+def reflux_sample(spark: SparkSession, d: str) -> DataFrame:
+    dropped = table(spark, d, "candidates").where(F.lower(F.coalesce("title", F.lit(""))).contains("official")).select("row_id", "title")
+    return stages.reflux_sample(dropped, 50, 7, "row_id").select("row_id")
+
+
+REGIONS = {"de": "(^| )(der|die|das) ", "fr": "(^| )(le|la|les) ", "en": "(^| )the "}
+GENRES = {"workshop": "lathe|saw|welding", "kitchen": "oven|kettle|stove"}
+
+
+def _classes(classes: dict[str, str]) -> str:
+    return "case " + " ".join(f"when regexp_matches(x, '{p}') then '{n}'" for n, p in classes.items()) + " end"
+
+
+@query("q74b_region_genre", f"select row_id, {_classes(REGIONS)} as region, {_classes(GENRES)} as genre, case when ({_classes(REGIONS)}) is not null or ({_classes(GENRES)}) is not null then 'title_rule' else '' end as src from (select row_id, lower(concat_ws(' ', coalesce(title, ''), coalesce(channel, ''))) as x from candidates)")
+def region_genre(spark: SparkSession, d: str) -> DataFrame:
+    text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("channel", F.lit("")))
+    (region, a), (genre, b) = rules.classify(text, REGIONS), rules.classify(text, GENRES)
+    return table(spark, d, "candidates").select("row_id", region.alias("region"), genre.alias("genre"), F.greatest(a, b).alias("src"))

@@ -86,10 +86,10 @@ def union_schema_align(spark: SparkSession, d: str) -> DataFrame:
     return joins.union_tagged([("supplier", s), ("customer", c)])
 
 
-@query("q19b_side_merge", "with s as (select label_id, qc_result as r from labels where label_id % 3 = 0) select l.label_id, coalesce(case when trim(s.r) <> '' and lower(trim(s.r)) <> 'nan' then s.r end, l.qc_bool) as qc_bool from labels l left join s using (label_id)")
+@query("q19b_side_merge", "with s as (select label_id, qc_result as r from labels where split = 'holdout') select l.label_id, coalesce(case when trim(s.r) <> '' and lower(trim(s.r)) <> 'nan' then s.r end, l.qc_bool) as qc_bool from labels l left join s using (label_id)")
 def side_merge(spark: SparkSession, d: str) -> DataFrame:
     lab = table(spark, d, "labels")
-    side = lab.where(F.col("label_id") % 3 == 0).select("label_id", F.col("qc_result").alias("qc_bool"))  # a side file for some rows is the feature
+    side = lab.where("split = 'holdout'").select("label_id", F.col("qc_result").alias("qc_bool"))  # the side file covers one split
     return joins.side_merge(lab.select("label_id", "qc_bool"), side, "label_id", ["qc_bool"])
 
 
@@ -143,15 +143,29 @@ def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return back.select("row_id", *(F.when(F.col(x) == "\\N", None).otherwise(F.substring(x, 2, 1 << 30)).alias(x) for x in cols))
 
 
-@query("q69_stream_first_seen", f"select video, count(*) as n from (select distinct video_id, {sql_video('video_id')} as video, harvested_at, row_id from candidates where {sql_video('video_id')} is not null) group by video")
-def stream_counts(spark: SparkSession, d: str) -> DataFrame:
-    """The candidates read as a stream of files and counted per video by a stateful aggregation to its end."""
+def _candidate_stream(spark: SparkSession, d: str) -> DataFrame:
     schema = table(spark, d, "candidates").schema
-    stream = inbox.read_inbox(spark, f"{d}/candidates.parquet" if _is_folder(spark, f"{d}/candidates.parquet") else d, schema, "parquet")
-    if not _is_folder(spark, f"{d}/candidates.parquet"):
+    if _is_folder(spark, f"{d}/candidates.parquet"):
+        stream = inbox.read_inbox(spark, f"{d}/candidates.parquet", schema, "parquet")
+    else:
         stream = spark.readStream.schema(schema).option("pathGlobFilter", "candidates.parquet").parquet(d)
+    return stream.withColumn("video", bare_video_id("video_id")).where("video is not null")
+
+
+@query("q69_stream_first_seen", f"select distinct {sql_video('video_id')} as video from candidates where {sql_video('video_id')} is not null")
+def stream_first_seen(spark: SparkSession, d: str) -> DataFrame:
+    """The videos of the candidates, read as a stream of files, each once: duplicates within the watermark fall out. All harvest times lie within its delay."""
+    out = work_path(spark, "stream")
+    first = inbox.first_seen(_candidate_stream(spark, d).select("video", F.coalesce("harvested_at", F.lit("2000-01-01").cast("timestamp")).alias("t")), "video", "t", "40000 days")
+    inbox.run_batches(first, lambda batch, i: batch.select("video").write.mode("append").parquet(out), work_path(spark, "stream-checkpoint")).awaitTermination()
+    return spark.read.schema("video string").parquet(out)
+
+
+@query("q69b_stream_counts", f"select {sql_video('video_id')} as video, count(*) as n from candidates where {sql_video('video_id')} is not null group by 1")
+def stream_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The candidates read as a stream of files and counted per video by a stateful aggregation to its end."""
     out = work_path(spark, "stream")
-    per = stream.withColumn("video", bare_video_id("video_id")).where("video is not null").groupBy("video").agg(F.count("*").alias("n"))
+    per = _candidate_stream(spark, d).groupBy("video").agg(F.count("*").alias("n"))
 
     def sink(batch: DataFrame, i: int) -> None:
         batch.write.mode("overwrite").parquet(out)
@@ -173,7 +187,7 @@ def exclude_known_texts(spark: SparkSession, d: str) -> DataFrame:
     return joins.unknown(table(spark, d, "documents").withColumn("t", F.lower(squeeze("text"))), b, "t").select("doc_id")
 
 
-@query("q70b_rollup_revenue", "select n_name, o_orderpriority, count(*) as orders, round(sum(l_extendedprice * (1 - l_discount)), 4) as revenue from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey where l_shipdate >= timestamp '1997-01-01' group by n_name, o_orderpriority")
+@query("q70b_revenue_by_nation", "select n_name, o_orderpriority, count(*) as orders, round(sum(l_extendedprice * (1 - l_discount)), 4) as revenue from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey where l_shipdate >= timestamp '1997-01-01' group by n_name, o_orderpriority")
 def revenue(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").where("l_shipdate >= timestamp_ntz '1997-01-01'")
     o, c, n = table(spark, d, "orders"), table(spark, d, "customer"), table(spark, d, "nation")

@@ -21,7 +21,7 @@ SECTIONS = (
 STEP_SQL = """case when regexp_matches(lower(coalesce(title, '')), 'bread oven|chain ?saw|welding torch') then 'title_blacklist'
   when regexp_matches(lower(coalesce(title, '')), '(^|[^\\p{L}])nobody told|what happens when') then 'title_aggressive_blacklist'
   when trim(lower(coalesce(channel, ''))) in ('bravuna daily clips', 'kulasara workshop') then 'channel_blacklist' end"""
-WORDS = ("workshop", "morning", "garden", "chair", "old", "diary", "official", "live", "friends", "storm", "oven", "stone")
+WORDS = ("workshop", "morning", "garden", "chair", "old", "diary", "official", "live", "friends", "storm", "oven", "stone", "lathe", "kettle")
 PATTERNS = ("bread oven", "chain ?saw", "stone wall", "quiet morning", "garden hoe", "zzz+")
 NOISE = {"reupload": "reupload|full$", "official": "official"}
 INDUSTRIES = {"kitchen": "bread oven|coffee grinder|kettle|camp stove", "garden": "garden hoe|bee hive|apple press|roof gutter", "metal": "welding|lathe|chain ?saw|tool chest", "textile": "sewing|carpet|rain jacket"}
@@ -35,7 +35,7 @@ def _case(mapping: dict[str, str], c: str = "lower(coalesce(title, ''))") -> str
     return "case " + " ".join(f"when regexp_matches({c}, '{p}') then '{n}'" for n, p in mapping.items()) + " end"
 
 
-@query("q01_rule_clean_summary", f"""with a as (select {STEP_SQL} as drop_step from candidates)
+@query("q01_rule_summary", f"""with a as (select {STEP_SQL} as drop_step from candidates)
 select case when drop_step is null then 'keep' else 'drop' end as decision, drop_step, count(*) as n, round(count(*) * 100.0 / (select count(*) from a), 1)::double as pct from a group by drop_step""")
 def rule_clean_summary(spark: SparkSession, d: str) -> DataFrame:
     return rules.summary(rules.attribute(_candidates(spark, d), SECTIONS))
@@ -120,7 +120,12 @@ def first_match_cluster(spark: SparkSession, d: str) -> DataFrame:
     return _candidates(spark, d).select("row_id", rules.first_match([("long_live", low.contains("live") & (s > 3000)), ("live", low.contains("live")), ("short", s < 100)], "other").alias("cluster"))
 
 
-HEIGHTS = {0: 360, 1: 720, 2: 1080}
+KEEP, RESCUE, BLOCK = ("live", "morning"), ("oven", "lathe", "garden"), ("reupload", "full$")
+
+
+@query("q12d_rescued", "select row_id, " + " and ".join(f"{no}regexp_matches(lower(coalesce(title, '')), '{'|'.join(p)}')" for no, p in (("", KEEP), ("", RESCUE), ("not ", BLOCK))) + " as rescued from candidates")
+def rescued(spark: SparkSession, d: str) -> DataFrame:
+    return _candidates(spark, d).select("row_id", rules.rescued("title", KEEP, RESCUE, BLOCK).alias("rescued"))
 
 
 @query("q20_nested_formats_max_height", """with f as (select row_id, [{'id': 'sb0', 'note': 'storyboard', 'h': 45, 'r': '80x45', 'v': 'none'}, {'id': '140', 'note': 'medium', 'h': null, 'r': 'audio only', 'v': 'none'}]

@@ -87,6 +87,24 @@ def exemplar_tiers(spark: SparkSession, d: str) -> DataFrame:
     return _embeddings(spark, d).select("vec_id", vectors.tiers(s, 0.5, 0.2).alias("tier"), (s - vectors.max_similarity(F.col("embedding"), [p[9]]) >= 0.05).alias("margin_ok"))
 
 
+@query("q43b_prototype_scores", f"""with ks as (select embedding as p from embeddings where label = 0 order by vec_id limit 20), ds as (select embedding as p from embeddings where label = 1 order by vec_id limit 20),
+s as (select vec_id, (select max(list_sum(list_transform(list_zip(e.embedding, p), lambda z: z[1]::double * z[2]::double))) from ks) as k, (select max(list_sum(list_transform(list_zip(e.embedding, p), lambda z: z[1]::double * z[2]::double))) from ds) as dr from embeddings e)
+select vec_id, round(k, 6) as sim_keep, round(dr, 6) as sim_drop, round(greatest(1e-6, least(1 - 1e-6, 1 / (1 + exp(-(k - dr) / 0.08)))), 6) as score from s""")
+def prototype_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Rows scored by their nearest few-shot picks of two labels."""
+    s = vectors.prototype_scores(_embeddings(spark, d), "vec_id", "embedding", F.col("label") == 0, F.col("label") == 1)
+    return s.select("vec_id", *(F.round(c, 6).alias(c) for c in ("sim_keep", "sim_drop", "score")))
+
+
+@query("q43c_feature_matrix", f"with {SQL_CENTROIDS}, x as (select vec_id, max(dot) filter (proto in (0, 2)) as p, max(dot) filter (proto in (1, 3)) as n from sim group by vec_id) select vec_id, 67 as size, round(p, 6) as pos_sim, round(n, 6) as neg_sim, round(ln(1 + vec_id), 6) as log_duration from x")
+def feature_matrix(spark: SparkSession, d: str) -> DataFrame:
+    from siftline.operators.features import feature_array
+
+    p = _prototypes(spark, d)
+    f = _embeddings(spark, d).select("vec_id", feature_array("embedding", [p[0], p[2]], [p[1], p[3]], F.col("vec_id").cast("double")).alias("f"))
+    return f.select("vec_id", F.size("f").alias("size"), *(F.round(F.col("f")[SIZE + i], 6).alias(c) for i, c in enumerate(("pos_sim", "neg_sim", "log_duration"))))
+
+
 @query("q44_store_coverage_fingerprint", "select count(vec_id) as rows, bit_xor(('0x' || substr(md5(vec_id::varchar), 1, 15))::bigint) as ids_key, count(*) filter (abs(list_sum(list_transform(embedding, lambda x: x::double * x::double)) - 1) < 0.001) as unit_vectors from embeddings")
 def store_coverage_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     e = _embeddings(spark, d)

@@ -6,14 +6,18 @@ import hashlib
 import json
 import os
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from pathlib import Path
 from typing import Any
+from urllib.parse import unquote, urlparse
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftline.functions.labels import human_label
+from siftline.operators.sampling import hash_sample
 from siftline.sources.readers import atomic_text, read_toml
 
 
@@ -83,8 +87,45 @@ class Manifest:
 
 
 def sha256_of(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, sha256) of each file of a folder, computed where the files are read."""
-    return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    """(path, length, sha256) of each file of a folder, computed where the files are read.
+
+    Files on a mounted file system are read a megabyte at a time; from other stores a file is one row, of 2 GB at most.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    if "://" in path.replace("file://", ""):
+        return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for p in b["path"]:
+                h = hashlib.sha256()
+                with open(unquote(urlparse(p).path), "rb") as f:
+                    while part := f.read(1 << 20):
+                        h.update(part)
+                out.append(h.hexdigest())
+            yield b.assign(sha256=out)
+
+    return files.select("path", "length").mapInPandas(digest, "path string, length long, sha256 string")
+
+
+def ingest_verdicts(labels: DataFrame, verdict: str, key: str = "video_id", keep: Sequence[str] = ("title", "channel")) -> dict[str, DataFrame]:
+    """Tables of a round of human checks: labeled, pass, fail, train_export and reject_validated.
+
+    labeled has human_label (pass or fail) and y; other verdicts are left out. train_export has the key, y and the fields of `keep`
+    that exist, one row per key, a fail before a pass; reject_validated the failed keys, with reject_action = confirm.
+    """
+    labeled = labels.withColumn("human_label", human_label(verdict)).where("human_label is not null").withColumn("y", (F.col("human_label") == "pass").cast("int"))
+    have = [c for c in keep if c in labels.columns and c != key]
+    train = labeled.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct("y", *have)).alias("r")).select(key, "r.y", *(F.col(f"r.{c}").alias(c) for c in have))
+    fail = labeled.where("human_label = 'fail'")
+    return {"labeled": labeled, "pass": labeled.where("human_label = 'pass'"), "fail": fail, "train_export": train, "reject_validated": fail.select(key).distinct().withColumn("reject_action", F.lit("confirm"))}
+
+
+def reflux_sample(dropped: DataFrame, n: int, seed: int | str, key: str = "video_id") -> DataFrame:
+    """n dropped rows to be checked again, one per key, the same for the same seed; all of them if there are fewer."""
+    one = dropped.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*[c for c in dropped.columns if c != key])).alias("r")).select(key, "r.*") if len(dropped.columns) > 1 else dropped.distinct()
+    return hash_sample(one, n, seed, key)
 
 
 def write_progress(path: str, done: int, total: int, passed: int = 0, **more: Any) -> dict[str, Any]:

@@ -21,11 +21,14 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return pd.read_csv(pd.io.common.StringIO(first[0][0].lstrip("﻿")), nrows=0).columns.tolist() if first else []
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, names: Sequence[str] | None = None) -> DataFrame:
-    """All columns as strings; quotes may hold line breaks and doubled quotes; asked-for columns that exist, in that order."""
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, names: Sequence[str] | None = None, line_breaks: bool = True) -> DataFrame:
+    """All columns as strings; quotes may hold line breaks and doubled quotes; asked-for columns that exist, in that order.
+
+    A file whose quotes may hold line breaks is one task; with line_breaks = False large files are split.
+    """
     have = list(names or csv_header(spark, path))
     schema = StructType([StructField(c, StringType()) for c in have])
-    df = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').option("enforceSchema", True).csv(path)
+    df = spark.read.schema(schema).option("header", True).option("multiLine", line_breaks).option("escape", '"').option("enforceSchema", True).csv(path)
     return df.select(*[c for c in columns if c in have]) if columns is not None else df
 
 
@@ -128,6 +131,31 @@ def import_npy(spark: SparkSession, vectors: str, ids: Sequence[str]) -> DataFra
     return starts.mapInPandas(load, "row long, video_id string, embedding array<float>")
 
 
+def export_npy(df: DataFrame, key: str, vector: str, path: str, half: bool = True) -> int:
+    """Writes vectors as dense matrix files `part-<n>.npy` beside their ids `part-<n>.ids.json`, one pair a task; returns the rows.
+
+    The folder must be mounted at the same path everywhere. Null vectors are left out; sizes must be equal.
+    """
+    os.makedirs(path, exist_ok=True)
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import numpy as np
+        from pyspark import TaskContext
+
+        got = [b for b in batches if len(b)]
+        if got:
+            t = pd.concat(got)
+            stem = f"{path}/part-{TaskContext.get().partitionId():05d}"
+            with open(f"{stem}.tmp", "wb") as f:
+                np.save(f, np.stack(t["vector"].to_numpy()).astype(np.float16 if half else np.float32))
+            os.replace(f"{stem}.tmp", f"{stem}.npy")
+            atomic_text(f"{stem}.ids.json", json.dumps(t["id"].astype(str).tolist()))
+            yield pd.DataFrame({"n": [len(t)]})
+
+    parts = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).alias("vector")).mapInPandas(write, "n long")
+    return sum(r.n for r in parts.collect())  # a row per task
+
+
 def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
     """A folder of CSV parts; with bom = True one small file for people, with a byte order mark, by the driver."""
     if not bom:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import random
 import threading
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Parts of error texts that stand for a lasting or a passing failure.
@@ -77,6 +80,39 @@ def with_retries(call: Callable[[], object], retries: int = 3, sleep: Callable[[
     raise AssertionError
 
 
+def fetch_cached(df: DataFrame, key: str, fetch: Callable[[str], bytes | None], cache: str, suffix: str = ".jpg", workers: int = 8, least: int = 1500) -> DataFrame:
+    """(key, path, length, status): a file per key in a cache folder that all executors mount, fetched where it is missing.
+
+    status is cached, fetched, small (under `least` bytes, taken for a placeholder and not kept) or the kind of error; path is null unless
+    the file is there. A file is written beside its place and then renamed, so that a lost task leaves no half of one. Keys come out once.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.makedirs(cache, exist_ok=True)
+
+        def one(k: str) -> tuple:
+            path = os.path.join(cache, f"{k}{suffix}")
+            if os.path.exists(path):
+                return k, path, os.path.getsize(path), "cached"
+            try:
+                data = fetch(k)
+            except Exception as e:  # noqa: BLE001
+                return k, None, None, error_kind(str(e))
+            if data is None or len(data) < least:
+                return k, None, None if data is None else len(data), "small"
+            with open(f"{path}.{uuid.uuid4().hex}", "wb") as f:
+                f.write(data)
+            os.replace(f.name, path)
+            return k, path, len(data), "fetched"
+
+        with ThreadPoolExecutor(workers) as pool:
+            for b in batches:
+                yield pd.DataFrame(list(pool.map(one, b["key"])), columns=[key, "path", "length", "status"]).astype({"length": "Int64"})
+
+    names = df.select(F.col(key).cast("string").alias("key")).where("key is not null and key rlike '^[A-Za-z0-9_-]+$'").distinct()
+    return names.mapInPandas(run, f"{key} string, path string, length long, status string")
+
+
 def call_per_row(df: DataFrame, make_client: Callable[[], Callable[[dict], dict]], schema: StructType | str, workers: int = 4) -> DataFrame:
     """One call per row with a pool of threads per task; the client is built once per task.
 

@@ -195,3 +195,75 @@ def test_tags(spark):
     assert tags.merge_proposals(p, p, "k").count() == 5
     b = spark.createDataFrame([(1, 5), (2, 0), (3, 0)], "o int, h int")
     assert tags.boundary(b, "o", "h").first().boundary and not tags.boundary(b.where("o < 3"), "o", "h").first().boundary
+
+
+def test_direct_metrics_and_hours(spark, judged):
+    p = judged.withColumn("p", F.when(F.col("score") >= 0.6, "T").when(F.col("score") < 0.25, "F").otherwise("U"))
+    m = metrics.direct_metrics(p, "p").first()
+    # kinds at or over 0.6: T, T, F; under 0.25: F four times; the row without a score predicts U, the one without a label counts nowhere
+    assert (m.n, m.valid, m.predicted_t, m.predicted_f) == (11, 7, 3, 4) and abs(m.precision_t - 2 / 3) < 1e-9 and m.overturn_f == 0.0 and abs(m.accuracy - 6 / 7) < 1e-9
+    none = metrics.direct_metrics(p.limit(0), "p").first()
+    assert (none.n, none.coverage, none.precision_t, none.overturn_f, none.accuracy) == (0, 0.0, 0.0, 1.0, 0.0)
+    top = {r.percent: (r.hours, r.hours_share) for r in metrics.top_share_metrics(judged, [30]).collect()}
+    assert top == {30.0: (3.0, 0.3)}
+    tied = spark.createDataFrame([(i, "T" if i < 3 else "F", 0.5, float(i)) for i in range(10)], "id int, kind string, score double, duration_seconds double")
+    r = metrics.top_share_metrics(tied, [20, 50]).orderBy("percent").collect()
+    assert [(x.k, x.precision, round(x.hours * 3600)) for x in r] == [(2, 1.0, 1), (5, 0.6, 10)]
+    q = metrics.projection(tied, 2.0, 4, 0.5).first()
+    assert (q.rows, round(q.hours * 3600), round(q.step_hours * 3600), round(q.keep_hours * 3600)) == (10, 45, 5, 22)
+    b = metrics.status_board(spark.createDataFrame([("T",), (" f",), ("error",), ("",), (None,), ("x",)], "s string"), "s").first()
+    assert (b.n_t, b.n_f, b.n_error, b.pending, b.done) == (1, 1, 1, 2, 4)
+
+
+def test_splits_with_groups_review_and_hold_out(spark):
+    rows = [(i, f"c{i // 2}" if i < 40 else (None, "", "nan")[i % 3], f"ref{i // 4}" if i < 60 else None) for i in range(80)]
+    df = spark.createDataFrame(rows, "id int, channel string, source_ref string")
+    bad = spark.createDataFrame([(1,), (1,), (None,)], "id int")
+    got = sampling.labelled_split(df, ["channel", "source_ref"], "id", {"train": 0.6, "calibration": 0.2, "holdout": 0.2}, 42, bad).collect()
+    assert len(got) == 80 and [r.split for r in got if r.id == 1] == ["review"]
+    groups = {}
+    for r in got:
+        assert r.label_group == (r.channel if r.id < 40 else r.source_ref if r.id < 60 else f"row {r.id}")
+        if r.id != 1:
+            groups.setdefault(r.label_group, set()).add(r.split)
+    assert all(len(s) == 1 for s in groups.values()) and {x for s in groups.values() for x in s} == {"train", "calibration", "holdout"}
+    h = spark.range(3000).withColumn("y", (F.col("id") % 3 == 0).cast("int"))
+    held = {r.y: (r.n, r.h) for r in sampling.hold_out(h, "id", "y", 0.2, 1).groupBy("y").agg(F.count("*").alias("n"), F.sum(F.col("held").cast("int")).alias("h")).collect()}
+    assert all(abs(h - 0.2 * n) <= 64 for n, h in held.values())
+    blind = sampling.spread_sample(spark.range(30).select("id", F.col("id").alias("channel"), F.col("id").cast("double").alias("s")), 10, 7, "id", "channel", "s", exclude=spark.range(2)).collect()
+    assert len(blind) == 10 and not {r.id for r in blind} & {0, 1}
+
+
+def test_k_center_against_brute_force(spark):
+    import random
+
+    rng = random.Random(4)
+    x = [[rng.random(), rng.random()] for _ in range(40)]
+    got = {r.id for r in sampling.k_center(spark.createDataFrame([*enumerate(x), (99, None)], "id int, v array<double>"), "id", "v", 6).collect()}
+    far = lambda a, b: sum((p - q) ** 2 for p, q in zip(x[a], x[b], strict=True))
+    chosen = [0]
+    while len(chosen) < 6:
+        chosen.append(max(range(40), key=lambda i: min(far(i, c) for c in chosen)))
+    assert got == set(chosen)
+
+
+def test_gather_is_strict_on_request(spark):
+    store = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "k string, v int")
+    assert [r.v for r in joins.gather(["a", "a"], store, "k", strict=True).collect()] == [1, 1]
+    for ids in (["a", "zz"], ["b"]):
+        with pytest.raises(ValueError):
+            joins.gather(ids, store, "k", strict=True)
+
+
+def test_definitions_tags_rescues_and_classes(spark):
+    rows = spark.createDataFrame([("a", "ta", "old"), ("b", "tb", "x"), ("c", "tc", "y"), ("d", "td", None)], "video_id string, title string, is_hd string")
+    d = spark.createDataFrame([("a", "1", "hd"), ("b", "0", "sd"), ("c", "", None)], "video_id string, is_hd string, status string")
+    kept, dropped = joins.by_definition(rows, d, "video_id", "is_hd")
+    assert [r.asDict() for r in kept.collect()] == [{"video_id": "a", "title": "ta"}] and {r.video_id for r in dropped.collect()} == {"b", "c", "d"}
+    pics = spark.createDataFrame([("T", None), ("F", None), ("f", "looks like 动漫"), (None, "动漫")], "v string, e string")
+    assert [r[0] for r in pics.select(tags.picture_tag("v", "e", {"动漫": "drawn"})).collect()] == [None, "provisional:thumb_fail", "drawn", None]
+    t = spark.createDataFrame([("Picking ripe mango",), ("How to pick mango",), ("Picking",), (None,)], "title string")
+    assert [r[0] for r in t.select(rules.rescued("title", ["pick"], ["mango"], ["how to"])).collect()] == [True, False, False, False]
+    assert [r[0] for r in t.select(rules.rescued("title", [], ["mango"], [])).collect()] == [False] * 4
+    name, source = rules.classify(F.col("title"), {"how": "how to", "pick": "pick"})
+    assert [tuple(r) for r in t.select(name, source).collect()] == [("pick", "title_rule"), ("how", "title_rule"), ("pick", "title_rule"), (None, "")]

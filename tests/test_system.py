@@ -69,6 +69,141 @@ def test_out_of_fold_scores_separate_the_classes(spark):
     assert not ok and reasons == ["drop_n"]
 
 
+def test_the_fit_converges(spark, sf):
+    """AUC and log loss of the production fit equal those of a much longer one, and it stops before its limit."""
+    from siftline.operators import metrics
+    from siftline.plans.q_metrics import _labelled_titles
+
+    df = models.balanced(models.text_columns(_labelled_titles(spark, sf), "title")).coalesce(1).persist()
+    n = df.agg(F.sum("weight")).first()[0]
+    got = []
+    for tolerance, iterations in ((1e-6, 2000), (1e-9, 10_000)):
+        model = models.text_pipeline(models.logistic(n, 1.0, iterations, tolerance)).fit(df)
+        scored = models.probability(model.transform(df)).select("id", "y", "kind", "score").persist()
+        got.append((metrics.roc_auc(scored.select("kind", "score")).first().auc, models.log_loss(scored).first().log_loss))
+        assert models.iterations_used(model) < iterations
+    assert abs(got[0][0] - got[1][0]) < 1e-3 and abs(got[0][1] - got[1][1]) < 1e-4
+    assert models.logistic(1.0).getMaxIter() == 2000 and models.logistic(1.0).getTol() <= 1e-6
+
+
+def test_terms_fusion_and_stored_models(spark, tmp_path):
+    rows = [(i, ("good calm talk " if i % 2 else "bad loud noise ") + f"w{i % 5}", i % 2, None if i % 7 == 0 else float(i % 2), f"g{i % 12}") for i in range(60)]
+    df = models.balanced(models.text_columns(spark.createDataFrame(rows, "id int, title string, y int, n double, g string"), "title"))
+    model = models.text_pipeline(models.logistic(60.0), vocabulary=500).fit(df)
+    top = {(r.side, r.term) for r in models.top_terms(model, spark, 3).collect()}
+    assert all(any(w in t for w in ("good", "calm", "talk", "goo", "oo", "go", "al", "tal", "ca", "lk")) for s, t in top if s == "positive") and len(top) == 6
+    models.save(model, str(tmp_path / "model"))
+    models.save(model, str(tmp_path / "model"))
+    again = models.load(str(tmp_path / "model"))
+    a, b = (models.probability(m.transform(df)).orderBy("id").select("score").collect() for m in (model, again))
+    assert a == b
+    fused = models.fusion_pipeline(["n"], models.logistic(60.0), 500).fit(df).transform(df).orderBy("id").select("numbers").collect()
+    x = np.array([r.numbers[0] for r in fused])
+    raw = np.array([np.nan if r[3] is None else r[3] for r in rows])
+    raw = np.where(np.isnan(raw), np.sort(raw[~np.isnan(raw)])[(~np.isnan(raw)).sum() // 2 - 1 : (~np.isnan(raw)).sum() // 2 + 1].min(), raw)
+    assert abs(x.mean()) < 1e-9 and abs(x.std(ddof=1) - 1) < 1e-9 and len(set(np.round(x, 6))) == len(set(raw))
+    idf = models.SmoothIDF("words_tf", "z", 2).fit(model.transform(df))
+    tf = model.stages[0].vocabulary
+    docs = sum("good" in r[1].split() for r in rows)
+    assert abs(idf.getScalingVec()[tf.index("good")] - (np.log(61 / (1 + docs)) + 1)) < 1e-9
+    svm = models.calibrated_svm(df.drop("weight"), "id", "y", 2).collect()
+    assert min(r.score for r in svm if r.y) > max(r.score for r in svm if not r.y) and all(0 <= r.score <= 1 for r in svm)
+
+
+def test_group_folds_are_even_and_scored(spark):
+    rows = [(i, "good talk" if i % 2 else "bad noise", i % 2, None if i % 50 == 0 else f"g{i % 300 if i >= 200 else 'hot'}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "id int, title string, y int, g string")
+    f = models.group_folds(df, "g", "y", 5)
+    assert f.count() == 2000 and f.where("fold is null").count() == 0 and f.groupBy("g").agg(F.countDistinct("fold").alias("k")).where("k > 1").count() == 0
+    sizes = [r["count"] for r in f.groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and min(sizes) > 150
+    got = models.out_of_fold(models.text_columns(f.where("id < 300").withColumnRenamed("fold", "f"), "title"), "id", "y", models.logistic_pipeline, 5, fold_col="f").collect()
+    assert len(got) == 300 and np.mean([r.score for r in got if r.y]) > np.mean([r.score for r in got if not r.y])
+
+
+def test_reduction_against_numpy(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(60, 6)) * [5, 3, 2, 1, 1, 1] + 2
+    df = spark.createDataFrame([*((i, [float(a) for a in v]) for i, v in enumerate(x)), (99, None)], "id int, v array<double>").repartition(3)
+    for centred in (False, True):
+        y = x - x.mean(0) if centred else x
+        top = np.linalg.svd(y)[2][:2]
+        top = top * np.sign(top[np.arange(2), np.abs(top).argmax(1)])[:, None]
+        got = {r.id: r.reduced for r in models.reduce(df, "id", "v", 2, centred).collect()}
+        assert got.pop(99) is None and np.allclose(np.array([got[i] for i in range(60)]), y @ top.T)
+    with pytest.raises(ValueError):
+        models.components(df, "v", 7)
+    with pytest.raises(ValueError):
+        models.components(df.limit(0), "v", 1)
+
+
+def test_prototypes_from_few_picks(spark):
+    rows = [(0, [1.0, 0.0], "T"), (1, [0.0, 1.0], "F"), (2, [0.9, 0.1], None), (3, None, "T"), (4, [0.1, 0.9], None)]
+    df = spark.createDataFrame(rows, "id int, v array<double>, k string")
+    got = {r.id: r.score for r in vectors.prototype_scores(df, "id", "v", F.col("k") == "T", F.col("k") == "F").collect()}
+    assert got[2] > 0.5 > got[4] and got[3] is None
+    with pytest.raises(ValueError):
+        vectors.prototype_scores(df, "id", "v", F.col("k") == "T", F.col("k") == "none")
+
+
+def test_pictures(spark):
+    from siftline.operators import pictures
+
+    smooth = np.tile(np.linspace(60, 180, 64), (48, 1)).astype(np.uint8)
+    poster = smooth.copy()
+    poster[10:40:4, 8:56] = 255
+    poster[12:40:4, 8:56] = 0
+    rows = [("a", smooth.tobytes(), 64, 48), ("b", poster.tobytes(), 64, 48), ("c", np.repeat(poster, 3).tobytes(), 64, 48), ("d", b"xx", 64, 48), ("e", None, None, None)]
+    got = {r.k: r for r in pictures.text_heaviness(spark.createDataFrame([(k, bytearray(d) if d else None, w, h) for k, d, w, h in rows], "k string, pixels binary, width int, height int"), "k").collect()}
+    assert got["b"].stroke_high_ratio > got["a"].stroke_high_ratio and got["b"].lap_std > got["a"].lap_std and got["b"].text_score > got["a"].text_score
+    assert abs(got["c"].text_score - got["b"].text_score) < 1e-9 and got["d"].text_score is None and got["e"].text_score is None
+    assert pictures.middle_tile(5, 5, 25) == 12 and pictures.middle_tile(5, 5, 9) == 0
+    sheet = np.arange(48 * 64).reshape(48, 64)
+    assert pictures.crop(sheet, 3, 2, 32, 24).tolist() == sheet[24:, 32:].tolist() and pictures.crop(sheet, 4, 2, 32, 24) is None
+
+
+def test_fetched_files_are_kept(spark, tmp_path):
+    cache = str(tmp_path / "cache")
+
+    def fetch(k):
+        if k == "bad":
+            raise RuntimeError("404 not found")
+        return None if k == "none" else b"x" * (10 if k == "tiny" else 2000)
+
+    df = spark.createDataFrame([("a",), ("a",), ("bad",), ("none",), ("tiny",), (None,), ("../up",)], "id string")
+    got = {r.id: (r.status, r.length) for r in remote.fetch_cached(df, "id", fetch, cache).collect()}
+    assert got == {"a": ("fetched", 2000), "bad": ("permanent", None), "none": ("small", None), "tiny": ("small", 10)}
+    assert remote.fetch_cached(df, "id", fetch, cache).where("id = 'a'").first().status == "cached" and os.listdir(cache) == ["a.jpg"]
+
+
+def test_matrix_files_and_digests(spark, tmp_path):
+    import hashlib
+
+    df = spark.createDataFrame([(i, [float(i), 0.5]) for i in range(7)] + [(9, None)], "id int, v array<float>").repartition(2)
+    assert readers.export_npy(df, "id", "v", str(tmp_path / "npy")) == 7
+    back = {}
+    for f in sorted((tmp_path / "npy").glob("*.npy")):
+        back.update(zip(json.loads(f.with_suffix(".ids.json").read_text()), np.load(f).tolist(), strict=True))
+    assert back == {str(i): [float(i), 0.5] for i in range(7)}
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "a b.bin").write_bytes(b"q" * 3_000_000)
+    r = stages.sha256_of(spark, str(tmp_path / "f")).first()
+    assert r.sha256 == hashlib.sha256(b"q" * 3_000_000).hexdigest() and r.length == 3_000_000
+    p = tmp_path / "one.csv"
+    p.write_text("a,b\n1,2\n3,4\n")
+    assert readers.read_csv(spark, str(p), line_breaks=False).count() == 2
+
+
+def test_verdicts_and_reflux(spark):
+    df = spark.createDataFrame([("a", "T", "x"), ("b", "F", "y"), ("c", "合格", "z"), ("d", "未知", "w"), ("c", "fail", "z"), (None, "F", "q")], "video_id string, qc string, title string")
+    parts = {k: v.collect() for k, v in stages.ingest_verdicts(df, "qc").items()}
+    assert {k: len(v) for k, v in parts.items()} == {"labeled": 5, "pass": 2, "fail": 3, "train_export": 3, "reject_validated": 3}
+    assert {(r.video_id, r.y, r.title) for r in parts["train_export"]} == {("a", 1, "x"), ("b", 0, "y"), ("c", 0, "z")}
+    d = spark.createDataFrame([(f"v{i % 50}", "x") for i in range(100)], "video_id string, title string")
+    one, two = ([r.video_id for r in stages.reflux_sample(d.repartition(k), 20, 1).collect()] for k in (1, 3))
+    assert one == two and len(set(one)) == 20 and stages.reflux_sample(d, 500, 1).count() == 50
+
+
 def test_stream_equals_batch_and_resumes(spark, tmp_path):
     src, out, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
     src.mkdir()
