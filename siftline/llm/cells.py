@@ -52,24 +52,12 @@ def fit_axes(titles: DataFrame) -> np.ndarray:
     return np.array([r.unit for r in top.collect()][::-1], np.int32)
 
 
-def rare_first(h: np.ndarray, offsets: np.ndarray, axes: np.ndarray) -> np.ndarray:
-    """Unit hashes reordered within each row: unlisted ones by hash, then the listed ones from rare to common."""
-    rank = np.zeros(len(h), np.int32)
-    if len(axes):
-        by = np.argsort(axes.view(np.uint32))
-        keys = axes.view(np.uint32)[by]
-        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-        rank = np.where(keys[at] == h, by[at] + 1, 0)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    return h[np.lexsort((h, rank, row))]
-
-
 def _vectors(axes: np.ndarray):
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in units.slices(batches, "title"):
             texts = b["title"].tolist()
             h, offsets = units.unit_sets(texts)
-            v = rare_first(h, offsets, axes).view(np.int32)
+            v = units.rare_first(h, offsets, axes).view(np.int32)
             out = b[["row_id", "batch_no", "video"]].copy()
             out["set_key"] = units.set_keys(h, offsets)
             out["numbers"] = units.number_keys(texts)

@@ -15,6 +15,7 @@ Training is deterministic; inference covers whole texts, in one pass without a s
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -22,10 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftline.functions.keys import present, strip
+from siftline.session import path_exists, shared_dir
 
 LANGS = ("en", "de", "es", "fr", "pt", "it", "ru", "zh", "ja", "ko", "th", "ar")
 NONE = len(LANGS)
@@ -377,7 +379,21 @@ def fit_on(df: DataFrame, label: Column, fields: list[str], key: str = "row_id",
         wanted = wanted | ((F.col("label") == r.label) & (F.col("h") <= r.h))
     text = F.concat_ws("\n", *(present(f) for f in fields))
     rows = marked.where(wanted).select("label", "h", text.alias("text")).where("text <> ''").orderBy("label", "h", "text").limit(sample * len(LANGS)).collect()
-    return train([r.text for r in rows], [r.label for r in rows])
+    return _trained(df.sparkSession, [r.text for r in rows], [r.label for r in rows])
+
+
+def _trained(spark: SparkSession, texts: list[str], labels: list[str]) -> ByteCNN:
+    """A network from these texts; its weights lie in the shared folder under a key of the texts, so that they are fitted once."""
+    key = hashlib.sha256("\0".join(f"{c}\0{t}" for c, t in zip(labels, texts, strict=True)).encode("utf-8", "surrogatepass")).hexdigest()
+    path = f"{shared_dir(spark)}/siftline-languages/{key}"
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        model = ByteCNN()
+        model.conv, model.bias, model.out, model.base = (np.frombuffer(r.data, np.float32).reshape(r.shape).copy() for r in spark.read.parquet(path).orderBy("i").collect())
+        return model
+    model = train(texts, labels)
+    rows = [(i, list(w.shape), bytearray(w.astype(np.float32).tobytes())) for i, w in enumerate((model.conv, model.bias, model.out, model.base))]
+    spark.createDataFrame(rows, "i int, shape array<int>, data binary").coalesce(1).write.mode("overwrite").parquet(path)
+    return model
 
 
 def _whole(p: np.ndarray, weight: np.ndarray, row: np.ndarray, texts: list) -> tuple[np.ndarray, ...]:

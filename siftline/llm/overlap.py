@@ -1,6 +1,7 @@
 """Problem 7: rows of evaluation splits that repeat training rows, by an exact prefix-filter join.
 
-Title units are ordered from rare to common by their count over all titles. Two titles of similarity t
+Title units are ordered from rare to common: counted over all titles, the `COMMON` most frequent ones come last, by
+their count, all others first, by hash (any one order is exact). Two titles of similarity t
 or more share a unit among the first size - ceil(t * size) + 1 of either, so only those prefixes meet:
 evaluation prefixes are the index, training prefixes probe it, under a length filter and a position
 filter, and what is left is verified on the full unit sets. Titles with equal unit sets and numbers are
@@ -21,6 +22,7 @@ from siftline.llm import units
 from siftline.session import materialise
 
 EVAL = ("calibration", "holdout")
+COMMON = 4096  # units whose count decides their place; they go to the driver and to every task
 
 
 def _vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -35,6 +37,20 @@ def _vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out
 
 
+def _reorder(common: np.ndarray):
+    def reorder(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            size = [len(x) for x in b["units"]]
+            if sum(size):
+                offsets = np.concatenate(([0], np.cumsum(size)))
+                h = np.concatenate(b["units"].tolist()).astype(np.int32).view(np.uint32)
+                v = units.rare_first(h, offsets, common).view(np.int32)
+                b = b.assign(units=[v[offsets[i] : offsets[i + 1]] for i in range(len(b))])
+            yield b
+
+    return reorder
+
+
 def prefix_join(index: DataFrame, probe: DataFrame, threshold: float) -> DataFrame:
     """(index_id, probe_id) of all pairs with Jaccard similarity >= threshold and equal `numbers`.
 
@@ -42,10 +58,9 @@ def prefix_join(index: DataFrame, probe: DataFrame, threshold: float) -> DataFra
     """
     t = threshold
     tagged = index.select(F.lit(0).alias("side"), "id", "numbers", "units").union(probe.select(F.lit(1), "id", "numbers", "units"))
-    flat = tagged.select("side", "id", F.explode("units").alias("unit"))
-    df = flat.groupBy("unit").agg(F.count("*").alias("n"))
-    ordered = flat.join(df, "unit").groupBy("side", "id").agg(F.array_sort(F.collect_list(F.struct("n", "unit")))["unit"].alias("units"))
-    ordered = materialise(ordered.join(tagged.select("side", "id", "numbers"), ["side", "id"]), "ordered")
+    counts = tagged.select(F.explode("units").alias("unit")).groupBy("unit").agg(F.count("*").alias("n")).where("n > 1")
+    common = [r.unit for r in counts.orderBy(F.desc("n"), "unit").limit(COMMON).collect()][::-1]
+    ordered = materialise(tagged.mapInPandas(_reorder(np.array(common, np.int32)), tagged.schema), "ordered")
     size = F.size("units")
     keep = (size - F.ceil(F.lit(t) * size - F.lit(1e-9)) + 1).cast("int")
     prefixes = ordered.select("*", F.posexplode(F.slice("units", F.lit(1), keep)).alias("pos", "unit"))

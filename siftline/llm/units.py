@@ -147,3 +147,15 @@ def set_keys(h: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(h.astype(np.uint64) + np.uint64(0x1234567)), dtype=np.uint64)))
         return (total[offsets[1:]] - total[offsets[:-1]]).view(np.int64)
+
+
+def rare_first(h: np.ndarray, offsets: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Unit hashes reordered within each row: unlisted ones by hash, then the listed ones from rare to common."""
+    rank = np.zeros(len(h), np.int32)
+    if len(common):
+        by = np.argsort(common.view(np.uint32))
+        keys = common.view(np.uint32)[by]
+        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+        rank = np.where(keys[at] == h, by[at] + 1, 0)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    return h[np.lexsort((h, rank, row))]

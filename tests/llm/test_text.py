@@ -120,6 +120,17 @@ def test_nothing_to_train_on_gives_no_stretches(spark):
         assert langid.stretches(df, model).count() == 0
 
 
+def test_weights_are_fitted_once(spark, sf, monkeypatch):
+    c = spark.read.parquet(f"{sf}/candidates.parquet")
+    fitted = []
+    fit = langid.train
+    monkeypatch.setattr(langid, "train", lambda *a: fitted.append(1) or fit(*a))
+    one, two = (langid.fit_on(c.repartition(n), F.col("lang"), ["title", "description"], sample=30) for n in (1, 3))
+    assert len(fitted) == 1 and all(np.array_equal(a, b) for a, b in ((one.conv, two.conv), (one.bias, two.bias), (one.out, two.out), (one.base, two.base)))
+    langid.fit_on(c.where("row_id > 5"), F.col("lang"), ["title", "description"], sample=20)
+    assert len(fitted) == 2
+
+
 def test_label_codes(spark):
     given = ["en-US", "pt_BR", "zh-Hans", "German", "deu", "ES", "und", "xx", "", None, "nan", " fr "]
     got = [r[0] for r in spark.createDataFrame([(x,) for x in given], "lang string").select(langid.label_code("lang")).collect()]
