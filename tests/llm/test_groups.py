@@ -168,6 +168,13 @@ def test_recall_at_the_threshold(spark, shared, own):
     assert linked_at_the_threshold(spark, 1000, shared, own) >= 0.99
 
 
+def test_pairs_of_a_large_group_come_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "PAIR_ROWS", 7)
+    g = spark.createDataFrame([(i, 1 if i < 40 else 2) for i in range(45)], "id bigint, component bigint")
+    got = [(r.row_id_a, r.row_id_b) for r in neardup.group_pairs(g).collect()]
+    assert len(got) == len(set(got)) == 40 * 39 // 2 + 5 * 4 // 2 and all(a < b and (a < 40) == (b < 40) for a, b in got)
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "row_id bigint, title string, description string")
     assert neardup.near_duplicate_groups(df, "row_id", neardup.joined_text("title", "description")).count() == 0
