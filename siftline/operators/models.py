@@ -140,9 +140,9 @@ def platt(margins: DataFrame, margin: str = "m") -> PipelineModel:
     return Pipeline(stages=[a, LogisticRegression(featuresCol="margin_vec", labelCol="y", maxIter=100)]).fit(margins)
 
 
-def calibrated_svm(df: DataFrame, key: str, label: str, folds: int = 3) -> DataFrame:
+def calibrated_svm(df: DataFrame, key: str, label: str, folds: int = 3, iterations: int = 200) -> DataFrame:
     """(key, y, fold, score): out-of-fold margins of a linear SVM as probabilities, by a sigmoid over all of them."""
-    m = materialise(out_of_fold(df, key, label, lambda train: svm_pipeline(), folds, output="rawPrediction").withColumnRenamed("score", "m"), "margins")
+    m = materialise(out_of_fold(df, key, label, lambda train: svm_pipeline(iterations), folds, output="rawPrediction").withColumnRenamed("score", "m"), "margins")
     return probability(platt(m).transform(m)).select(key, "y", "fold", "score")
 
 

@@ -106,7 +106,7 @@ def test_terms_fusion_and_stored_models(spark, tmp_path):
     tf = model.stages[0].vocabulary
     docs = sum("good" in r[1].split() for r in rows)
     assert abs(idf.getScalingVec()[tf.index("good")] - (np.log(61 / (1 + docs)) + 1)) < 1e-9
-    svm = models.calibrated_svm(df.drop("weight"), "id", "y", 2).collect()
+    svm = models.calibrated_svm(df.drop("weight"), "id", "y", 2, iterations=20).collect()
     assert min(r.score for r in svm if r.y) > max(r.score for r in svm if not r.y) and all(0 <= r.score <= 1 for r in svm)
 
 
