@@ -16,7 +16,9 @@ Training is deterministic; inference covers whole texts, in one pass without a s
 from __future__ import annotations
 
 import hashlib
+import inspect
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -383,8 +385,9 @@ def fit_on(df: DataFrame, label: Column, fields: list[str], key: str = "row_id",
 
 
 def _trained(spark: SparkSession, texts: list[str], labels: list[str]) -> ByteCNN:
-    """A network from these texts; its weights lie in the shared folder under a key of the texts, so that they are fitted once."""
-    key = hashlib.sha256("\0".join(f"{c}\0{t}" for c, t in zip(labels, texts, strict=True)).encode("utf-8", "surrogatepass")).hexdigest()
+    """A network from these texts; its weights lie in the shared folder under a key of the texts and of this module, so that they are fitted once."""
+    material = [inspect.getsource(sys.modules[__name__]), *(f"{c}\0{t}" for c, t in zip(labels, texts, strict=True))]
+    key = hashlib.sha256("\0".join(material).encode("utf-8", "surrogatepass")).hexdigest()
     path = f"{shared_dir(spark)}/siftline-languages/{key}"
     if path_exists(spark, f"{path}/_SUCCESS"):
         model = ByteCNN()

@@ -120,7 +120,8 @@ def test_nothing_to_train_on_gives_no_stretches(spark):
         assert langid.stretches(df, model).count() == 0
 
 
-def test_weights_are_fitted_once(spark, sf, monkeypatch):
+def test_weights_are_fitted_once(spark, sf, monkeypatch, tmp_path):
+    monkeypatch.setattr(langid, "shared_dir", lambda spark: f"file://{tmp_path}")
     c = spark.read.parquet(f"{sf}/candidates.parquet")
     fitted = []
     fit = langid.train
