@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -99,9 +100,12 @@ class CellIndex:
         row = [(float(self.threshold), self.buckets, self.axes.tolist())]
         self.spark.createDataFrame(row, "threshold double, buckets int, axes array<int>").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/axes")
 
+    def _name(self, name: str) -> str:
+        return f"siftline_{name}_{hashlib.md5(self.path.encode()).hexdigest()}"
+
     def _table(self, name: str, schema: str, key: str) -> str:
-        """The name under which this session knows one of the bucketed tables."""
-        at = f"siftline_{name}_{hashlib.md5(self.path.encode()).hexdigest()}"
+        """Makes one of the bucketed tables known to the session; returns its name."""
+        at = self._name(name)
         self.spark.sql(f"create table if not exists {at} ({schema}) using parquet clustered by ({key}) into {self.buckets} buckets location '{self.path}/{name}'")
         return at
 
@@ -144,10 +148,10 @@ class CellIndex:
         """Files the rows under a new step, which does not count yet."""
         step = max(self._steps("begun"), default=0) + 1
         touch(self.spark, f"{self.path}/begun/{step}")
-        cells, videos = self._cells(), self._videos()
-        self._postings(vectors).withColumn("step", F.lit(step)).repartition(self.buckets, "cell").write.insertInto(cells)
-        v = vectors.where("video is not null").groupBy("video", "batch_no").agg(F.min("row_id").alias("first_row_id")).withColumn("step", F.lit(step))
-        v.repartition(self.buckets, "video").write.insertInto(videos)
+        v = vectors.where("video is not null").groupBy("video", "batch_no").agg(F.min("row_id").alias("first_row_id"))
+        parts = [(self._postings(vectors), "cell", self._cells()), (v, "video", self._videos())]
+        with ThreadPoolExecutor(2) as pool:  # both are small jobs of many tasks
+            list(pool.map(lambda p: p[0].withColumn("step", F.lit(step)).repartition(self.buckets, p[1]).write.insertInto(p[2]), parts))
         return step
 
     def append(self, vectors: DataFrame) -> None:
@@ -163,10 +167,18 @@ class CellIndex:
         step = self._file(vectors)
         mine, older = F.col("step") == step, self._complete() & (F.col("step") < step)
         cells, videos = self.spark.table(self._cells()), self.spark.table(self._videos())
-        self._met(vectors, cells.where(mine), cells.where(older), videos.where(mine), videos.where(older)).write.mode("overwrite").parquet(f"{self.path}/found/step={step}")
+        found = self.spark.createDataFrame([], FOUND)
+        if self._steps("done"):
+            found = self._met(vectors, cells.where(mine), cells.where(older), videos.where(mine), videos.where(older))
+        found.write.mode("overwrite").parquet(f"{self.path}/found/step={step}")
         touch(self.spark, f"{self.path}/done/{step}")
         return self.spark.read.schema(FOUND).parquet(f"{self.path}/found/step={step}")
 
+    def close(self) -> None:
+        """Takes the tables out of the session's catalogue; their files stay, and the index can be used on."""
+        for name in ("cells", "videos"):
+            self.spark.sql(f"drop table if exists {self._name(name)}")
+
     def found(self) -> DataFrame:
         """The results of all checks so far."""
         paths = [f"{self.path}/found/step={s}" for s in sorted(self._steps("done")) if path_exists(self.spark, f"{self.path}/found/step={s}")]
@@ -208,4 +220,5 @@ def check_batches(candidates: DataFrame, index: CellIndex) -> DataFrame:
     vectors = materialise(index.vectors(candidates), "vectors", ["batch_no"])
     for b in sorted(r.batch_no for r in vectors.select("batch_no").distinct().collect()):
         index.check(vectors.where(F.col("batch_no") == b))
+    index.close()
     return index.found()
