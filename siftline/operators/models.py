@@ -14,6 +14,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftline.operators import lockstep
 from siftline.operators.features import char_wb_ngrams, tokens, word_ngrams
 from siftline.operators.sampling import fold, lot
 from siftline.session import materialise
@@ -84,20 +85,25 @@ def probability(df: DataFrame, column: str = "probability") -> DataFrame:
     return df.withColumn("score", vector_to_array(column)[1])
 
 
+def _folded(df: DataFrame, key: str, label: str, folds: int, seed: int = 42, fold_col: str | None = None) -> tuple[DataFrame, int]:
+    """The rows with their fold, stored, and their number."""
+    sizes = [r[1] for r in df.groupBy(label).count().collect()]
+    k = min(folds, min(sizes)) if len(sizes) > 1 else 0
+    if k < 2:
+        raise ValueError("the smaller class needs two rows")
+    return materialise(df.withColumn("fold", F.col(fold_col) if fold_col else fold(key, label, k, seed)), "folds"), sum(sizes)
+
+
 def out_of_fold(df: DataFrame, key: str, label: str, make: Callable[[DataFrame], Estimator], folds: int = 5, seed: int = 42, fold_col: str | None = None, output: str = "probability") -> DataFrame:
     """(key, y, fold, score): each row scored by a model that has not seen its fold.
 
     Folds are stratified by label, or given (for groups). There are at most as many as the smaller class has rows;
     ValueError if that is under two. `output` is the model's column whose second element is the score.
     """
-    sizes = [r[1] for r in df.groupBy(label).count().collect()]
-    k = min(folds, min(sizes)) if len(sizes) > 1 else 0
-    if k < 2:
-        raise ValueError("the smaller class needs two rows")
-    d = materialise(df.withColumn("fold", F.col(fold_col) if fold_col else fold(key, label, k, seed)), "folds")
+    d, n = _folded(df, key, label, folds, seed, fold_col)
     out = None
     for i in sorted(r[0] for r in d.select("fold").distinct().collect()):
-        train = balanced(d.where(F.col("fold") != i), label).coalesce(1 + sum(sizes) // 2000)  # an iteration costs a job: no more tasks than rows are worth
+        train = balanced(d.where(F.col("fold") != i), label).coalesce(1 + n // 2000)  # an iteration costs a job: no more tasks than rows are worth
         scored = probability(make(train).fit(train).transform(d.where(F.col("fold") == i)), output).select(key, F.col(label).alias("y"), "fold", "score")
         out = scored if out is None else out.union(scored)
     return out
@@ -141,8 +147,12 @@ def platt(margins: DataFrame, margin: str = "m") -> PipelineModel:
 
 
 def calibrated_svm(df: DataFrame, key: str, label: str, folds: int = 3, iterations: int = 200) -> DataFrame:
-    """(key, y, fold, score): out-of-fold margins of a linear SVM as probabilities, by a sigmoid over all of them."""
-    m = materialise(out_of_fold(df, key, label, lambda train: svm_pipeline(iterations), folds, output="rawPrediction").withColumnRenamed("score", "m"), "margins")
+    """(key, y, fold, score): out-of-fold margins of a linear SVM, as `svm_pipeline` states it, as probabilities by a sigmoid over all of them.
+
+    The folds are fitted side by side (`lockstep`), where max-abs scales drop out as features are measured in their deviations.
+    """
+    d, _ = _folded(df, key, label, folds)
+    m = materialise(lockstep.fit_and_score(d, key, label, "hinge", 0.01, True, iterations, 1e-5).withColumnRenamed("margin", "m"), "margins")
     return probability(platt(m).transform(m)).select(key, "y", "fold", "score")
 
 

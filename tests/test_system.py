@@ -359,3 +359,34 @@ def test_core_queries_equal_their_sql(spark, sf):
         cols = [c[0] for c in want.description]
         assert sorted(cols) == sorted(df.columns), name
         assert plain(want.fetchall()) == plain(tuple(r) for r in df.select(*cols).collect()), name
+
+
+def test_folds_of_the_svm_share_their_passes(spark, monkeypatch):
+    """One job a step for all folds, not one a step and fold; and margins that separate, with a fold of empty titles scored by the intercept."""
+    from siftline.operators import lockstep
+
+    steps = []
+    kept = lockstep.minimise
+
+    def counted(*a):
+        fit, n = kept(*a), 0
+        try:
+            x = next(fit)
+            while True:
+                n += 1
+                x = fit.send((yield x))
+        except StopIteration as end:
+            steps.append(n)
+            return end.value
+
+    monkeypatch.setattr(lockstep, "minimise", counted)
+    rows = [(f"k{i}", None if i % 20 == 0 else ("good calm talk " if i % 2 else "bad loud noise ") + f"w{i % 7}", i % 2) for i in range(90)]
+    df = models.text_columns(spark.createDataFrame(rows, "id string, title string, y int"), "title")
+    spark.sparkContext.setJobGroup("svm", "")
+    got = {r.id: r for r in models.calibrated_svm(df, "id", "y", 3, iterations=30).collect()}
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("svm"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(got) == 90 and len(steps) == 3 and jobs < max(steps) + 60
+    full = [got[r[0]] for r in rows if r[1]]
+    assert min(r.score for r in full if r.y) > max(r.score for r in full if not r.y)
+    assert len({round(got[r[0]].score, 6) for r in rows if not r[1]}) <= 3
