@@ -156,6 +156,16 @@ def calibrated_svm(df: DataFrame, key: str, label: str, folds: int = 3, iteratio
     return probability(platt(m).transform(m)).select(key, "y", "fold", "score")
 
 
+def fusion_scores(df: DataFrame, key: str, label: str, numbers: Sequence[str], folds: int = 5, fold_col: str | None = None, c: float = 1.0, iterations: int = 2000, tolerance: float = 1e-6) -> DataFrame:
+    """(key, y, fold, score): out-of-fold scores of `fusion_pipeline` with `logistic`; the folds are fitted side by side (`lockstep`).
+
+    Numbers missing in all rows that a fold trains on count as 0.
+    """
+    d, _ = _folded(df, key, label, folds, fold_col=fold_col)
+    z = lockstep.fit_and_score(d, key, label, "log", lambda n: 1.0 / (c * np.maximum(n, 1.0)), False, iterations, tolerance, numbers, 20_000)
+    return z.select(key, "y", "fold", (1 / (1 + F.exp(-F.col("margin")))).alias("score"))
+
+
 def boosted(features: Sequence[str], trees: int = 50, rate: float = 0.05, depth: int = 5, seed: int = 42) -> Pipeline:
     """Gradient-boosted trees on numeric columns; nulls are kept as NaN, a value of their own."""
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"), GBTClassifier(featuresCol="features", labelCol="y", weightCol="weight", maxIter=trees, stepSize=rate, maxDepth=depth, seed=seed)])

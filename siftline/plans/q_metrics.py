@@ -368,4 +368,4 @@ def fusion_oof(spark: SparkSession, d: str) -> DataFrame:
     """Out-of-fold scores, by group, of a logistic regression on word and character terms and filled, scaled numbers."""
     q = models.text_columns(_grouped(spark, d), "title", (1, 2), (3, 5)).withColumn("length", F.length("title").cast("double"))
     f = models.group_folds(q, "g", "y", 5).withColumnRenamed("fold", "_fold")
-    return models.out_of_fold(f, "id", "y", lambda train: models.fusion_pipeline(["score", "duration_seconds", "length"], models.logistic(train.agg(F.sum("weight")).first()[0])), 5, fold_col="_fold")
+    return models.fusion_scores(f, "id", "y", ["score", "duration_seconds", "length"], 5, "_fold")

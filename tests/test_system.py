@@ -390,3 +390,16 @@ def test_folds_of_the_svm_share_their_passes(spark, monkeypatch):
     full = [got[r[0]] for r in rows if r[1]]
     assert min(r.score for r in full if r.y) > max(r.score for r in full if not r.y)
     assert len({round(got[r[0]].score, 6) for r in rows if not r[1]}) <= 3
+
+
+def test_folds_of_the_fusion_share_their_passes(spark):
+    """Scores are those of `fusion_pipeline` with its medians, scales and vocabularies per fold; one job a step serves all folds."""
+    rows = [(i, "" if i % 30 == 0 else ("good calm " if i * 7 % 10 < 5 else "bad loud ") + f"w{i % 5} v{i % 3}", int(i * 7 % 10 < 6), None if i % 7 == 0 else float("nan") if i % 11 == 0 else float(i % 13), i % 2) for i in range(120)]
+    df = models.text_columns(spark.createDataFrame(rows, "id int, title string, y int, n double, f int"), "title").coalesce(1)
+    spark.sparkContext.setJobGroup("fusion", "")
+    got = {r.id: r.score for r in models.fusion_scores(df, "id", "y", ["n"], 2, "f", tolerance=1e-9).collect()}
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("fusion"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 150
+    want = models.out_of_fold(df, "id", "y", lambda train: models.fusion_pipeline(["n"], models.logistic(train.agg(F.sum("weight")).first()[0], tolerance=1e-9)), 2, fold_col="f").collect()
+    assert len(got) == len(want) == 120 and max(abs(got[r.id] - r.score) for r in want) < 2e-3
