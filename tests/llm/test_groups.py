@@ -168,6 +168,49 @@ def test_recall_at_the_threshold(spark, shared, own):
     assert linked_at_the_threshold(spark, 1000, shared, own) >= 0.99
 
 
+def test_large_buckets_are_divided_without_loss(spark, monkeypatch):
+    """Even where every value is divided, two trials find the pairs at the threshold."""
+    monkeypatch.setattr(neardup, "WIDE_ROWS", 0)
+    monkeypatch.setattr(neardup, "BUCKET", 0)
+    assert linked_at_the_threshold(spark, 1000, 48, 16) >= 0.99
+
+
+@pytest.mark.parametrize("change", [{}, {"ROWS_PER_TASK": 40, "BUCKET": 30}])
+def test_groups_of_a_wide_table_against_brute_force(spark, monkeypatch, change):
+    for name, value in {"WIDE_ROWS": 0, **change}.items():
+        monkeypatch.setattr(neardup, name, value)
+    rng = random.Random(15)
+    texts = dense(120)
+    for _ in range(100):
+        words = texts[rng.randrange(len(texts))].split()
+        for _ in range(rng.randint(3, 8)):
+            words[rng.randrange(len(words))] = f"{rng.choice(WORDS)}{rng.randrange(10**6)}z"
+        texts.append(" ".join(words))
+    got = {r.id: r.component for r in neardup.near_duplicate_groups(spark.createDataFrame(list(enumerate(texts)), "row_id bigint, text string"), "row_id", F.col("text")).collect()}
+    s = sets(texts)
+    want = groups_of([(x, y) for x in range(len(s)) for y in range(x) if alike(s[x], s[y])], range(len(s)))
+    assert {(i, j) for i in got for j in got if got[i] == got[j] and i < j} == {(i, j) for i in want for j in want if want[i] == want[j] and i < j}
+
+
+def test_rows_of_a_wide_table_meet_less_and_travel_once_a_word():
+    """Of texts over one vocabulary, far fewer meet in a trial once large buckets are divided; a value that fills a task multiplies no row."""
+    n, rng = 3000, random.Random(16)
+    texts = [" ".join([*(f"c{rng.randrange(60)}" for _ in range(30)), *(f"w{rng.randrange(10**6)}" for _ in range(20))]) for _ in range(n)]
+    sketch = next(neardup._sketch(iter([pd.DataFrame({"id": range(n), "text": texts})]), True))
+    hot = int(pd.Series(golay.value(neardup._values(sketch, 0), 3)).mode()[0])
+    met = {}
+    for bucket in (0, n):
+        routed = pd.concat(neardup._route(1, {(3, hot): (golay.WORDS, 4)}, True)(iter([sketch])))
+        assert len(routed) == golay.WORDS * n and routed["pid"].max() >= golay.WORDS
+        met[bucket] = 0
+        for _, part in routed.groupby("pid"):
+            key = part["key"].to_numpy()
+            codes = golay.keys((key & (1 << golay.BITS) - 1).astype(np.int32))
+            both = (neardup._divided(key >> golay.BITS, bucket)[:, None] << golay.INFO | codes)[codes >= 0]
+            met[bucket] += int(sum(c * (c - 1) // 2 for c in np.unique(both, return_counts=True)[1]))
+    assert met[0] * 3 < met[n]
+
+
 def test_pairs_of_a_large_group_come_in_parts(spark, monkeypatch):
     monkeypatch.setattr(neardup, "PAIR_ROWS", 7)
     g = spark.createDataFrame([(i, 1 if i < 40 else 2) for i in range(45)], "id bigint, component bigint")
